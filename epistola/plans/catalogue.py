@@ -1,0 +1,6 @@
+"""Named queries over the driver's tables, each with the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
