@@ -15,6 +15,8 @@ CHUNK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1024:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")  # so that an Arrow batch of long texts stays small
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
