@@ -64,6 +64,11 @@ def raw_text(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def partitions(spark: SparkSession) -> int:
+    """Parts to deal rows into: the session's shuffle partitions, which the caller sizes to the input."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def crc_mod(id_col, m: int):
     """crc32 of the id written as text, modulo m: the fold of a document."""
     return F.crc32(id_col.cast("string").cast("binary")) % m

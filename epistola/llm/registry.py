@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .common import table
+from pyspark.sql import functions as F
+
+from .common import partitions, table, texts
 
 
 def op8_byte_bpe(spark, sf_dir):
@@ -11,5 +13,35 @@ def op8_byte_bpe(spark, sf_dir):
     return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op8_byte_bpe": op8_byte_bpe}
+def op2_bottom_k_sketch(spark, sf_dir):
+    from . import sketch
+
+    docs = texts(table(spark, sf_dir, "documents"))
+    rows = sketch.with_next(docs, partitions(spark))
+    rows = rows.withColumn("edited", sketch.edited(F.col("text"), F.col("next_text")))
+    rows = sketch.sketch_texts(rows, "edited", "edited_sketch")
+    return rows.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketch.as_text(F.col("sketch")).alias("fingerprint"),
+        sketch.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketch.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketch.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        sketch.distinct_shingles(F.col("sketch")).alias("n_shingles"),
+        sketch.containment(F.col("sketch"), F.col("edited_sketch")).alias("within_edited"),
+    )
+
+
+def op3_url_reputation(spark, sf_dir):
+    from . import url_reputation
+
+    return url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    "op2_bottom_k_sketch": op2_bottom_k_sketch,
+    "op3_url_reputation": op3_url_reputation,
+    "op8_byte_bpe": op8_byte_bpe,
+}
 SQL: dict[str, str] = {}
