@@ -39,9 +39,16 @@ def op3_url_reputation(spark, sf_dir):
     return url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op5_license_diagonals(spark, sf_dir):
+    from . import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bottom_k_sketch": op2_bottom_k_sketch,
     "op3_url_reputation": op3_url_reputation,
+    "op5_license_diagonals": op5_license_diagonals,
     "op8_byte_bpe": op8_byte_bpe,
 }
 SQL: dict[str, str] = {}
