@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def bounded_batches(batches, limit: int = CHUNK_BYTES):
         n = batch.num_rows
         if not n:
             continue
-        size = np.cumsum(pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < n:
             base = size[at - 1] if at else 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import partitions, table, texts
+from .common import crc_mod, partitions, table, texts
 
 
 def op8_byte_bpe(spark, sf_dir):
@@ -39,16 +39,33 @@ def op3_url_reputation(spark, sf_dir):
     return url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op4_simhash_gray(spark, sf_dir):
+    from . import simhash
+
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_license_diagonals(spark, sf_dir):
     from . import licenses
 
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity_trees(spark, sf_dir):
+    from . import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    fold = crc_mod(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_bottom_k_sketch": op2_bottom_k_sketch,
     "op3_url_reputation": op3_url_reputation,
+    "op4_simhash_gray": op4_simhash_gray,
     "op5_license_diagonals": op5_license_diagonals,
+    "op6_toxicity_trees": op6_toxicity_trees,
     "op8_byte_bpe": op8_byte_bpe,
 }
 SQL: dict[str, str] = {}
