@@ -60,6 +60,23 @@ def op6_toxicity_trees(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", F.coalesce(fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_language_crf(spark, sf_dir):
+    from . import langid
+
+    docs = table(spark, sf_dir, "documents")
+    fold = crc_mod(F.col("doc_id"), langid.FOLDS) == langid.HELD_OUT
+    return langid.identify(docs, langid.fit(docs)).select("doc_id", F.coalesce(fold, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_switches")
+
+
+def op10_quality_lines(spark, sf_dir):
+    from . import quality
+
+    docs = table(spark, sf_dir, "documents")
+    fold = crc_mod(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_lines")
+
+
 QUERIES = {
     "op2_bottom_k_sketch": op2_bottom_k_sketch,
     "op3_url_reputation": op3_url_reputation,
@@ -67,5 +84,7 @@ QUERIES = {
     "op5_license_diagonals": op5_license_diagonals,
     "op6_toxicity_trees": op6_toxicity_trees,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_language_crf": op9_language_crf,
+    "op10_quality_lines": op10_quality_lines,
 }
 SQL: dict[str, str] = {}
