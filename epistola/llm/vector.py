@@ -102,6 +102,26 @@ def member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[np.minimum(np.searchsorted(sorted_set, values), len(sorted_set) - 1)] == values
 
 
+class HashSet:
+    """A set of hashes with a weight each; a table of the top 16 bits turns most strangers away before the exact search."""
+
+    def __init__(self, values: np.ndarray, weights: np.ndarray | None = None):
+        order = np.argsort(values, kind="stable")
+        self.values = values[order]
+        self.weights = np.ones(len(values)) if weights is None else weights[order]
+        self.table = np.zeros(1 << 16, bool)
+        self.table[(self.values >> np.uint64(48)).astype(np.int64)] = True
+
+    def weigh(self, h: np.ndarray) -> np.ndarray:
+        """The weight of each hash, 0 if it isn't in the set."""
+        out = np.zeros(len(h))
+        if len(self.values):
+            maybe = np.flatnonzero(self.table[(h >> np.uint64(48)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.values, h[maybe]), len(self.values) - 1)
+            out[maybe] = np.where(self.values[at] == h[maybe], self.weights[at], 0.0)
+        return out
+
+
 def sums(flags: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sums of flags between consecutive edges, empty stretches 0."""
     total = np.concatenate([[0], np.cumsum(flags, dtype=np.float64)])
