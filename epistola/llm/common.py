@@ -88,3 +88,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int,
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     )
     return texts(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label")
+
+
+def filter_rows(docs: DataFrame, passes, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text passes, all columns kept whatever their names, without a shuffle.
+
+    passes(column) gives a boolean array for an Arrow column of texts, in which a null is an empty string.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    text = F.coalesce(F.col(names[docs.columns.index(text_col)]).cast("string"), F.lit(""))
+    schema = ", ".join(f"{n} {kind}" for n, kind in plain.dtypes)
+
+    def run(batches):
+        for batch in bounded_batches(batches):
+            kept = pa.RecordBatch.from_arrays(batch.columns[2:], names=names).filter(pa.array(passes(batch.column(1))))
+            if kept.num_rows:
+                yield kept
+
+    return plain.select(F.lit(0).alias("pad"), text.alias("checked"), *names).mapInArrow(run, schema).toDF(*docs.columns)

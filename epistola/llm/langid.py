@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import bounded_batches, crc_mod, raw_text, texts
+from .common import bounded_batches, crc_mod, filter_rows, raw_text, texts
 from .vector import BLOCK, LETTERS, LOWER, hashes, spans, sums
 
 FOLDS, HELD_OUT = 5, 0
@@ -156,3 +156,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score), pa.array(turns)], names=["doc_id", "lang_pred", "score", "n_switches"])
 
     return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, n_switches long")
+
+
+def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of docs with a language, at least `least` of whose text is in it, all columns; null texts and texts without a letter go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+
+    def passes(column):
+        langs, score, _ = shared.value.predict(*raw_text(column), lambda i: column[i].as_py())
+        return (np.array(langs) != "und") & (score >= least)
+
+    return filter_rows(docs, passes)

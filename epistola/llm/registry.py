@@ -60,6 +60,12 @@ def op6_toxicity_trees(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", F.coalesce(fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_spaced_seeds(spark, sf_dir):
+    from . import decontam
+
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_crf(spark, sf_dir):
     from . import langid
 
@@ -83,6 +89,7 @@ QUERIES = {
     "op4_simhash_gray": op4_simhash_gray,
     "op5_license_diagonals": op5_license_diagonals,
     "op6_toxicity_trees": op6_toxicity_trees,
+    "op7_spaced_seeds": op7_spaced_seeds,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_language_crf": op9_language_crf,
     "op10_quality_lines": op10_quality_lines,

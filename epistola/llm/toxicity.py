@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, labelled_sample, raw_text, settle, texts
+from .common import bounded_batches, filter_rows, labelled_sample, raw_text, settle, texts
 from .vector import LETTERS, LOWER, NOT_SPACE, HashSet, hash_words, hashes, member, spans, sums
 
 #: Labelled documents that the trees are fitted on, at most, and the fold that is never learned from.
@@ -275,3 +275,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(features(*raw_text(batch.column(1)), model.lexicon)))], names=["doc_id", "score"])
 
     return texts(docs).mapInArrow(run, "doc_id long, score double")
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs that score below the threshold, all columns; a null or empty text stays."""
+
+    def passes(column):
+        data, offsets = raw_text(column)
+        return (model.score(features(data, offsets, model.lexicon)) < threshold) | (np.diff(offsets) == 0)
+
+    return filter_rows(docs, passes)
