@@ -5,20 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Writes df below spark.checkpoint.dir, which executors share (a temporary folder only where that is unset), and reads it again."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below spark.checkpoint.dir, which executors share; a temporary one only where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"file://{tempfile.mkdtemp(prefix='epistola-')}"
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Cuts lineage: writes df to the shared folder and reads it again."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _minima(pairs: DataFrame) -> DataFrame:

@@ -28,15 +28,18 @@ def on_spine(spine: DataFrame, results: DataFrame) -> DataFrame:
     return spine.join(results.withColumn("found", F.lit(True)), "day", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
-def first_match(left: DataFrame, right: DataFrame, rules: list, key: str, order: str) -> DataFrame:
-    """For each row of left the row of right by the first rule that finds one; rules are lists of columns equal on both sides."""
-    found = None
-    for priority, on in enumerate(rules):
-        part = left.join(right, on).withColumn("rule", F.lit(priority))
-        part = part.select(*sorted(part.columns))
-        found = part if found is None else found.unionByName(part)
-    w = Window.partitionBy(key).orderBy("rule", order)
-    return found.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+def best_by(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The first row of each key, by `order`: what a lookup of that key would take, so that no lookup multiplies rows."""
+    return rows.groupBy(*keys).agg(F.min(order).alias(order))
+
+
+def first_of(left: DataFrame, tables, rules: list[list[str]], value: str) -> DataFrame:
+    """left with `value` and the number of the first rule whose table has it; rows that no rule finds are left out."""
+    for n, (found, keys) in enumerate(zip(tables, rules, strict=True)):
+        left = left.join(found.withColumnRenamed(value, f"{value}_{n}"), keys, "left")
+    hits = [F.col(f"{value}_{n}") for n in range(len(rules))]
+    rule = F.coalesce(*[F.when(h.isNotNull(), F.lit(n)) for n, h in enumerate(hits)])
+    return left.withColumns({"rule": rule, value: F.coalesce(*hits)}).where("rule is not null")
 
 
 def numbered(rows: DataFrame, by: str, *order) -> DataFrame:

@@ -23,7 +23,8 @@ def _d(x: float) -> Column:
 
 
 def _add(score: Column, test: Column, amount: float) -> Column:
-    return F.when(test, score + _d(amount)).otherwise(score)
+    """score plus an amount if the test holds. Adding 0.0 changes no sum, and the score so far is written once, not twice."""
+    return score + F.when(test, _d(amount)).otherwise(_d(0))
 
 
 def _any(c: Column, words: list[str]) -> Column:
@@ -61,7 +62,7 @@ def contact_priority(city, position, organization, urgency, product, email, phon
     full = mail & (F.length(F.coalesce(phone, F.lit(""))) > 0)
     score = _add(_add(score, mail, 0.05), full, 0.05)
     sure, unsure = conf > 0.9, conf < 0.7
-    score = F.when(sure, score + _d(0.05)).when(unsure, score - _d(0.1)).otherwise(score)
+    score = score + F.when(sure, _d(0.05)).when(unsure, _d(-0.1)).otherwise(_d(0))
     reasons += [F.when(full, F.lit("complete contact data")), F.when(sure, F.lit("high confidence")).when(unsure, F.lit("low confidence"))]
     score = F.greatest(_d(0), F.least(_d(1), score))
     return F.struct(score.alias("score"), band(score).alias("level"), F.filter(F.array(*reasons), lambda r: r.isNotNull()).alias("reasons"))
@@ -84,7 +85,7 @@ def regional_contact_priority(region: Column, equipment: Column, budget: Column,
     relevant, low = _any(equipment, EQUIPMENT), F.lower(F.coalesce(urgency, F.lit("")))
     paid, urgent, normal = F.coalesce(budget, F.lit(False)), low.isin(URGENT_WORDS), low.isin(NORMAL_WORDS)
     score = _add(_add(info["score"] * _d(0.4), relevant, 0.3), paid, 0.15)
-    score = F.when(urgent, score + _d(0.15)).when(normal, score + _d(0.08)).otherwise(score)
+    score = score + F.when(urgent, _d(0.15)).when(normal, _d(0.08)).otherwise(_d(0))
     level = F.when(score >= 0.8, "critical").when(score >= 0.6, "high").when(score >= 0.4, "medium").when(score >= 0.2, "low").otherwise("minimal")
     factors = F.array(F.concat(F.lit("region_"), F.regexp_replace(info["level"], " ", "_")), F.when(relevant, F.lit("equipment_relevant")), F.when(paid, F.lit("budget_mentioned")), F.when(urgent, F.lit("urgent_request")).when(normal, F.lit("normal_request")))
     return F.struct(F.least(score, _d(1)).alias("score"), level.alias("level"), F.filter(factors, lambda f: f.isNotNull()).alias("factors"))
@@ -96,7 +97,7 @@ def text_quality(text: Column, method: Column) -> Column:
     score = _add(_d(1.0), length < 50, -0.3)
     for mark in ERROR_MARKS:
         score = _add(score, text.contains(mark), -0.4)
-    score = F.when(method == "ocr", score - _d(0.5)).when(method == "description", score - _d(0.4)).otherwise(score)
+    score = score + F.when(method == "ocr", _d(-0.5)).when(method == "description", _d(-0.4)).otherwise(_d(0))
     useful = F.lit(False)
     for rx in USEFUL:
         useful = useful | text.rlike(rx)
