@@ -90,7 +90,7 @@ def load(path: str) -> dict[str, np.ndarray]:
 def ef_pack(values: np.ndarray, top: int, name: str) -> dict[str, np.ndarray]:
     """A sorted array of distinct values below `top` as packed low bits and pointers by high bits."""
     n = len(values)
-    width = max(0, int(max(1, top) * RUN // max(1, n)).bit_length() - 1)
+    width = min(63, max(0, int(max(1, top) * RUN // max(1, n)).bit_length() - 1))
     high = (values >> _U(width)).astype(np.int64)
     size = (int(top) >> width) + 2
     pointers = np.searchsorted(high, np.arange(size)).astype(np.uint32 if n < 1 << 32 else np.uint64)
