@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import url_reputation
 from .common import crc_mod, partitions, table, texts
 
 
@@ -40,9 +41,8 @@ def op2_bottom_k_sketch(spark, sf_dir):
 
 
 def op3_url_reputation(spark, sf_dir):
-    from . import url_reputation
-
-    return url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    judged = url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.withColumns({c: F.round(c, 9) for c in ("reputation", "upper_bound")})
 
 
 def op4_simhash_gray(spark, sf_dir):
@@ -101,4 +101,4 @@ QUERIES = {
     "op9_language_crf": op9_language_crf,
     "op10_quality_lines": op10_quality_lines,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_url_reputation": url_reputation.sql()}

@@ -81,13 +81,13 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     seen = hosts.where("n > 0")
     domains = seen.groupBy("suffix", "domain").agg(*_moments(["domain"])).withColumn("m", _strength()).select("suffix", "domain", F.col("p_good").alias("good"), F.col("p_n").alias("n"), F.col("m").alias("m_host"))
     suffixes = domains.groupBy("suffix").agg(*_moments(["suffix"])).withColumn("m", _strength()).select("suffix", F.col("p_good").alias("good"), F.col("p_n").alias("n"), F.col("m").alias("m_domain"))
-    whole = suffixes.groupBy().agg(*_moments([])).withColumn("m", _strength()).select(((F.coalesce("p_good", F.lit(0.0)) + 1) / (F.coalesce("p_n", F.lit(0.0)) + 2)).alias("p0"), F.coalesce("m", F.lit(STRENGTH)).alias("m0"))
-    # one row: the corpus; a cross join with it is a broadcast of one row
+    whole = suffixes.groupBy().agg(*_moments([])).withColumn("m", _strength()).select(((F.coalesce("p_good", F.lit(0.0)) + 1) / (F.coalesce("p_n", F.lit(0.0)) + 2)).alias("p0"), F.coalesce("m", F.lit(STRENGTH)).alias("m0"), (F.coalesce("p_n", F.lit(0.0)) + 2).alias("most"))
+    # one row, the corpus: joining it is a broadcast of one row
     suffixes = suffixes.crossJoin(F.broadcast(whole)).select("suffix", ((F.col("good") + F.col("m0") * F.col("p0")) / (F.col("n") + F.col("m0"))).alias("p_suffix"), "m_domain")
     domains = domains.join(suffixes, "suffix").select("suffix", "domain", ((F.col("good") + F.col("m_domain") * F.col("p_suffix")) / (F.col("n") + F.col("m_domain"))).alias("p_domain"), "m_host")
     known = hosts.join(domains, ["suffix", "domain"], "left").join(suffixes.select("suffix", "p_suffix"), "suffix", "left").crossJoin(F.broadcast(whole))
     prior = F.coalesce("p_domain", "p_suffix", "p0")
-    weight = F.coalesce("m_host", F.lit(STRENGTH))
+    weight = F.least(F.coalesce("m_host", F.lit(STRENGTH)), "most")  # no prior weighs more than all labelled pages
     return known.select("host", (F.col("good") + weight * prior).alias("alpha"), (F.col("n") - F.col("good") + weight * (1 - prior)).alias("beta"))
 
 
@@ -114,3 +114,34 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, wanted: float = WANT
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
     mean, _, upper = posterior(F.col("alpha"), F.col("beta"), z)
     return rows.join(scores, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(said, F.when(upper < wanted, "block").otherwise("allow")).alias("verdict"), mean.alias("reputation"), upper.alias("upper_bound"))
+
+
+def _strength_sql() -> str:
+    rho = "((greatest(s2 / g - (s1 / g) * (s1 / g), 0) - (s1 / g) * (1 - s1 / g) * (s_inv / g)) / nullif((s1 / g) * (1 - s1 / g) * (1 - s_inv / g), 0))"
+    return f"CASE WHEN g < 3 THEN {STRENGTH}::DOUBLE WHEN {rho} IS NULL OR {rho} <= 0 THEN {STRONGEST}::DOUBLE ELSE least(greatest((1 - {rho}) / {rho}, {WEAKEST}::DOUBLE), {STRONGEST}::DOUBLE) END"
+
+
+def sql(rules=RULES, wanted: float = WANTED, z: float = Z) -> str:
+    """judge() in SQL, bounds rounded to nine places."""
+    ordered = sorted(rules, key=lambda r: (-len(r[0] + r[1]), r[0] + r[1]))
+    fits = [(f"(host = '{at}' OR ends_with(host, '.{at}')) AND starts_with(path, '{prefix}')", at + prefix, what) for at, prefix, what in ordered]
+    rule = " ".join(f"WHEN {test} THEN '{name}'" for test, name, _ in fits)
+    said = " ".join(f"WHEN {test} THEN '{what}'" for test, _, what in fits)
+    sums = "sum(good) AS good, sum(n) AS n, count(*) AS g, sum(good / n) AS s1, sum((good / n) * (good / n)) AS s2, sum(1 / n) AS s_inv"
+    m = _strength_sql()
+    mean = "alpha / (alpha + beta)"
+    upper = f"least({mean} + {z}::DOUBLE * sqrt({mean} * (1 - {mean}) / (alpha + beta + 1)), 1)"
+    tail = lambda k: f"array_to_string(list_reverse(list_reverse(string_split(host, '.'))[1:{k}]), '.')"
+    return f"""WITH t AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM t),
+o AS (SELECT doc_id AS page_id, min(CAST(quality = 1 AND NOT (coalesce(toxic, 0) = 1) AS INTEGER)) AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+h AS (SELECT host, {tail(2)} AS domain, {tail(1)} AS suffix, coalesce(sum(good), 0)::DOUBLE AS good, count(good)::DOUBLE AS n FROM p LEFT JOIN o USING (page_id) GROUP BY host),
+d AS (SELECT suffix, domain, good, n, {m} AS m_host FROM (SELECT suffix, domain, {sums} FROM h WHERE n > 0 GROUP BY suffix, domain)),
+s AS (SELECT suffix, good, n, {m} AS m_domain FROM (SELECT suffix, {sums} FROM d GROUP BY suffix)),
+w AS (SELECT (coalesce(good, 0) + 1) / (coalesce(n, 0) + 2) AS p0, coalesce({m}, {STRENGTH}::DOUBLE) AS m0, coalesce(n, 0) + 2 AS most FROM (SELECT {sums} FROM s)),
+s2 AS (SELECT suffix, (good + m0 * p0) / (n + m0) AS p_suffix, m_domain FROM s, w),
+d2 AS (SELECT d.suffix, domain, (good + m_domain * p_suffix) / (n + m_domain) AS p_domain, m_host FROM d JOIN s2 USING (suffix)),
+k AS (SELECT host, good, n, coalesce(p_domain, p_suffix, p0) AS prior, least(coalesce(m_host, {STRENGTH}::DOUBLE), most) AS weight
+  FROM h LEFT JOIN d2 ON d2.suffix = h.suffix AND d2.domain = h.domain LEFT JOIN (SELECT suffix, p_suffix FROM s2) x ON x.suffix = h.suffix, w),
+ab AS (SELECT host, good + weight * prior AS alpha, n - good + weight * (1 - prior) AS beta FROM k)
+SELECT page_id, host, path, CASE {rule} END AS rule, CASE {said} WHEN {upper} < {wanted}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict, round({mean}, 9) AS reputation, round({upper}, 9) AS upper_bound FROM p JOIN ab USING (host)"""
