@@ -12,12 +12,12 @@ EXTENSIONS = "*.{pdf,doc,docx,xls,xlsx,png,jpg,jpeg,tiff}"
 
 def mails(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Mail records below path/date_folder=YYYY-MM-DD; a range prunes folders. Files that aren't JSON are left out."""
-    rows = spark.read.schema(f"{MAIL}, _corrupt_record string, date_folder date").option("multiLine", True).json(path, pathGlobFilter="email_*.json")
+    rows = spark.read.schema(f"{MAIL}, date_folder date").option("multiLine", True).option("mode", "DROPMALFORMED").json(path, pathGlobFilter="email_*.json")
     if first is not None:
         rows = rows.where(F.col("date_folder") >= F.lit(first).cast("date"))
     if last is not None:
         rows = rows.where(F.col("date_folder") <= F.lit(last).cast("date"))
-    return rows.withColumn("json_file_path", F.col("_metadata.file_path")).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return rows.withColumn("json_file_path", F.col("_metadata.file_path"))
 
 
 def days(spark: SparkSession, path: str) -> DataFrame:
@@ -27,8 +27,7 @@ def days(spark: SparkSession, path: str) -> DataFrame:
 def rules(spark: SparkSession, path: str, lower: bool = True) -> list[str]:
     """The rules of a text file, which people write: blank lines, comments and **** go."""
     lines = spark.read.text(path).select(F.trim("value").alias("r")).where("r != '' and not startswith(r, '#') and r != '****'")
-    found = sorted({r["r"] for r in lines.collect()})
-    return [r.lower() for r in found] if lower else found
+    return sorted({r["r"].lower() if lower else r["r"] for r in lines.collect()})
 
 
 def attachments(spark: SparkSession, path: str) -> DataFrame:
