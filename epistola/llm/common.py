@@ -42,6 +42,13 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, df: DataFrame) -> None:
+    """Deletes the files of a settled table that nothing will read again."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def bounded_batches(batches, limit: int = CHUNK_BYTES):
     """Record batches cut so that the text (column 1) of each holds about `limit` bytes, one document at least."""
     for batch in batches:

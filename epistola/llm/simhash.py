@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, settle, texts
+from .common import bounded_batches, forget, settle, texts
 
 BITS, SEED, WORDS, MAX_DIFF = 64, 42, 4, 4
 #: Fingerprints that a task should index, and the size from which a shard is dealt into chunks; children of an index node.
@@ -197,7 +197,8 @@ def components(edges: DataFrame) -> DataFrame:
     rows = settle(edges.where("fp != rep").select(F.greatest("fp", "rep").alias("u"), F.least("fp", "rep").alias("v")).distinct(), "simhash-edges")
     before = None
     while True:
-        rows = settle(stars(stars(rows, True).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), False), "simhash-stars")
+        last, rows = rows, settle(stars(stars(rows, True).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), False), "simhash-stars")
+        forget(rows.sparkSession, last)
         now = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first()
         if now == before:
             return rows.select(F.col("u").alias("node"), F.col("v").alias("root"))
