@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import email.header
+import email.utils
 import json
 import re
 
@@ -56,3 +57,32 @@ def decoded(c: Column) -> Column:
     """A header with its encoded words decoded; only headers that have some reach Python."""
     decode = F.pandas_udf(_decode_series, "string")
     return F.when(c.contains("=?"), decode(F.when(c.contains("=?"), c))).otherwise(c)
+
+
+def _address_lists(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: [a.strip().lower() for _, a in email.utils.getaddresses([v or ""]) if a.strip()])
+
+
+def addresses(c: Column) -> Column:
+    """The addresses of an RFC 2822 list, quoted names and comments understood; lower-case, empty ones left out."""
+    return F.pandas_udf(_address_lists, "array<string>")(c)
+
+
+def register_tables(spark) -> None:
+    """Registers the table function explode_phones(text) for SQL: a row for each phone-like run of a text."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="phone string, position int")
+    class ExplodePhones:
+        def eval(self, text: str):
+            for m in _PHONE.finditer(text or ""):
+                yield m.group(0), m.start()
+
+    spark.udtf.register("explode_phones", ExplodePhones)
+
+
+def extract_offers(text: str) -> str:
+    """The default offer extractor: the word for an offer with a number, and a total with its currency."""
+    number = re.search(r"(?i)(?:offer|quotation|предложение)\s*(?:no\.?|№)?\s*([0-9][0-9/-]*)", text or "")
+    total = re.search(r"([0-9][0-9 ]*[.,]?[0-9]*)\s*(RUB|EUR|USD)", text or "")
+    return json.dumps({"commercial_offer_found": bool(number), "offer_number": number.group(1) if number else "", "total_cost": total.group(0) if total else "", "currency": total.group(2) if total else ""})

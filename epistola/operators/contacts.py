@@ -108,3 +108,14 @@ def transitive(contacts: DataFrame) -> DataFrame:
     links = keys.join(first, "key").where("ord != first").select(F.col("ord").alias("a"), F.col("first").alias("b")).distinct()
     roots = components(links)
     return c.select("ord").join(roots, c["ord"] == roots["node"], "left").select("ord", F.coalesce("root", "ord").alias("root"))
+
+
+def answer_errors(parsed: Column) -> Column:
+    """What an answer lacks, as a list; empty for a valid one. parsed: as parse_answer gives it."""
+    checks = [
+        F.when(~parsed["ok"], F.lit("no contacts")),
+        F.when(parsed["context"].isNull(), F.lit("no business_context")),
+        F.when(parsed["actions"].isNull(), F.lit("no actions")),
+        F.when(F.exists(parsed["contacts"], lambda c: c["email"].isNull() & c["phone"].isNull() & c["name"].isNull()), F.lit("empty contact")),
+    ]
+    return F.filter(F.array(*checks), lambda e: e.isNotNull())

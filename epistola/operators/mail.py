@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -109,3 +109,38 @@ def merge_chunk_contexts(parts: DataFrame, key: str) -> DataFrame:
     """The contexts of a document's chunks in order, as one text, and the number of contacts."""
     piece = F.concat(F.lit("Part "), F.col("n").cast("string"), F.lit(": "), F.col("context"))
     return parts.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", piece.alias("t")))), lambda s: s["t"]), " | ").alias("context"), F.sum("contacts").alias("contacts"))
+
+
+def sectioned_text(body: Column, parts: Column) -> Column:
+    """The older layout: body, notes on what was left out, texts, errors. parts: struct of file_name, status, text, error."""
+    lines = lambda test, shown: F.array_join(F.transform(F.filter(parts, test), shown), "\n")
+    left_out = lines(lambda p: p["status"].isin("excluded", "unsupported"), lambda p: F.concat(p["file_name"], F.lit(": "), p["status"]))
+    read = lines(lambda p: F.length(F.coalesce(p["text"], F.lit(""))) > 0, lambda p: F.concat(F.lit("["), p["file_name"], F.lit("]\n"), p["text"]))
+    failed = lines(lambda p: p["error"].isNotNull(), lambda p: F.concat(p["file_name"], F.lit(": "), p["error"]))
+    section = lambda title, c: F.when(F.length(c) > 0, F.concat(F.lit(f"=== {title} ===\n"), c))
+    return F.concat_ws("\n\n", section("BODY", body), section("LEFT OUT", left_out), section("ATTACHMENTS", read), section("ERRORS", failed))
+
+
+def method_by_mime(mime: Column) -> Column:
+    """The older dispatch, by MIME type."""
+    m = F.lower(F.coalesce(mime, F.lit("")))
+    return (
+        F.when(m == "application/pdf", "pdf").when(m.contains("spreadsheet") | m.contains("excel"), "excel").when(m.contains("word"), "word")
+        .when(m.startswith("image/"), "ocr").when(m.startswith("text/"), "text").otherwise("unsupported")
+    )
+
+
+def needs_ocr(layer: Column, least: int = 100) -> Column:
+    """Whether a PDF's text layer is too short to be used alone; a page's is by 50 characters."""
+    return F.length(F.trim(F.coalesce(layer, F.lit("")))) <= least
+
+
+def day_results(mails: DataFrame) -> DataFrame:
+    """A row for each day: counts, and the previews of the first five contacts and three offers in order of arrival, not of score."""
+    c = mails.select("day", "ord", F.struct("ord", "name", "organization", "city", "confidence", "score").alias("c"), "is_offer", "score")
+    first = lambda n, test: F.slice(F.array_sort(F.collect_list(F.when(test, F.col("c")))), 1, n)
+    ranked = c.withColumn("nth", F.row_number().over(Window.partitionBy("day", "is_offer").orderBy("ord")))
+    return ranked.groupBy("day").agg(
+        F.count(F.lit(1)).alias("contacts"), F.count_if(F.col("score") >= 0.8).cast("long").alias("high"),
+        first(5, ~F.col("is_offer") & (F.col("nth") <= 5)).alias("top_contacts"), first(3, F.col("is_offer") & (F.col("nth") <= 3)).alias("top_offers"),
+    )

@@ -90,3 +90,11 @@ def streaks(events: DataFrame, key: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy("ts", "event_id")
     turned = events.withColumn("run", F.sum(F.coalesce((F.col("ok") != F.lag("ok").over(w)).cast("int"), F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return turned.withColumn("streak", F.row_number().over(Window.partitionBy(key, "run").orderBy("ts", "event_id")).cast("long")).drop("run")
+
+
+def request_stats(delays: DataFrame, key: str, n: int = 10, kept: int = 50) -> DataFrame:
+    """Of each key's last `kept` requests: how many, and success rate and mean delay of the last n. delays: (key, event_id, outcome, delay_used), ids in order."""
+    w = Window.partitionBy(key).orderBy(F.desc("event_id"))
+    last = delays.withColumn("back", F.row_number().over(w)).where(F.col("back") <= kept)
+    recent = F.col("back") <= n
+    return last.groupBy(key).agg(F.count(F.lit(1)).alias("total"), F.avg(F.when(recent, (F.col("outcome") == "success").cast("double"))).alias("success_rate"), F.avg(F.when(recent, F.col("delay_used"))).alias("mean_delay"))

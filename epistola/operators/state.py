@@ -49,8 +49,8 @@ def wait(delay: float, elapsed: float | None) -> float:
 class Breaker:
     """Opens for five minutes after three failures in a row, and closes at the first look after that."""
 
-    def __init__(self):
-        self.failures, self.until = 0, None
+    def __init__(self, state=None):
+        self.failures, self.until = state or (0, None)
 
     def step(self, at: float, ok: bool) -> str:
         if self.until is not None:
@@ -66,6 +66,26 @@ class Breaker:
             return "tripped"
         return "closed"
 
+    def state(self) -> tuple[int, float | None]:
+        return self.failures, self.until
+
+
+class Retries:
+    """Attempts of one message: three failures without a success between end it for good."""
+
+    def __init__(self, state=None):
+        self.attempts, self.dead = state or (0, False)
+
+    def step(self, ok: bool) -> str:
+        if self.dead:
+            return "dead"
+        self.attempts = 0 if ok else self.attempts + 1
+        self.dead = self.attempts >= ATTEMPTS
+        return "dead" if self.dead else "done" if ok else "retry"
+
+    def state(self) -> tuple[int, bool]:
+        return self.attempts, self.dead
+
 
 def _in_order(rows: DataFrame, key: str, schema: str, make, step) -> DataFrame:
     """Reads each key's rows in order of (ts, event_id) and adds what step(machine, row) gives."""

@@ -12,7 +12,7 @@ from ..functions import text as tx
 from ..operators import contacts as ct
 from ..operators import filters as fl
 from ..operators import joins, mail, rollups, scoring, state
-from ..operators.components import settle
+from ..operators.components import shared_path
 from . import bindings as b
 
 QUERIES: dict = {}
@@ -505,15 +505,28 @@ def retry_dead_letter(spark, sf):
     return state.retry_queue(b.requests(spark, sf).withColumn("message", F.col("event_id") % 997))
 
 
+def _streamed(spark, sf, machine, name, **columns):
+    from ..streaming import state as streaming
+
+    log = spark.readStream.schema(b.table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")
+    outcome = F.expr("CASE event_type WHEN 'error' THEN 'rate_limit_error' WHEN 'click' THEN 'timeout' WHEN 'signup' THEN 'other_error' ELSE 'success' END")
+    requests = log.select((F.col("user_id") % 50).alias("provider"), (F.col("event_id") % 997).alias("message"), "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("ts"), outcome.alias("outcome")).withColumn("ok", F.col("outcome") == "success")
+    return streaming.run_once(getattr(streaming, machine)(requests), shared_path(spark, name), shared_path(spark, f"{name}-state"))
+
+
 @Q()
 def rate_limit_stream(spark, sf):
-    from ..operators.components import shared_path
-    from ..streaming import state as streaming
+    return _streamed(spark, sf, "delays", "delays")
 
-    schema = b.table(spark, sf, "events").schema
-    log = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
-    requests = log.select((F.col("user_id") % 50).alias("provider"), "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("ts"), F.expr("CASE event_type WHEN 'error' THEN 'rate_limit_error' WHEN 'click' THEN 'timeout' WHEN 'signup' THEN 'other_error' ELSE 'success' END").alias("outcome"))
-    return streaming.run_once(streaming.delays(requests), shared_path(spark, "delays"), shared_path(spark, "delays-state"))
+
+@Q()
+def circuit_breaker_stream(spark, sf):
+    return _streamed(spark, sf, "breakers", "breakers")
+
+
+@Q()
+def retry_stream(spark, sf):
+    return _streamed(spark, sf, "retries", "retries")
 
 
 @Q(f"""WITH {b.REQUESTS}, p AS (SELECT provider, provider % 7 <> 0 AS active, provider % 5 <> 0 AS has_key, count(*) FILTER (NOT ok) % 6 AS failures FROM requests GROUP BY ALL), u AS (SELECT count(*) FILTER (active AND has_key) AS usable FROM p)
@@ -565,3 +578,40 @@ def plugin_answers(spark, sf):
     """Runs the default extraction plug-in over every mail and reads its answers."""
     answers = plugins.answer(b.mails(spark, sf), "doc_id", "body")
     return answers.select("doc_id", ct.parse_answer(F.col("answer")).alias("a")).select("doc_id", F.size("a.contacts").cast("long").alias("contacts"))
+
+
+@Q(f"""WITH {b.CONTACTS}, x AS (SELECT CAST(DATE '2024-01-01' + CAST(ord % 20 AS INTEGER) AS DATE) AS day, ord, coalesce(conf, {_DBL(0)}) AS score, ord % 4 = 0 AS is_offer, row_number() OVER (PARTITION BY ord % 20, ord % 4 = 0 ORDER BY ord) AS nth FROM contacts)
+SELECT day, count(*) AS contacts, count(*) FILTER (score >= {_DBL(0.8)}) AS high, coalesce(string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord) FILTER (NOT is_offer AND nth <= 5), '') AS top_contacts, coalesce(string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord) FILTER (is_offer AND nth <= 3), '') AS top_offers FROM x GROUP BY day""")
+def day_results(spark, sf):
+    c = b.contacts(spark, sf).withColumns({"confidence": scoring.confidence(F.col("confidence")), "day": F.date_add(F.lit("2024-01-01").cast("date"), (F.col("ord") % 20).cast("int")), "is_offer": F.col("ord") % 4 == 0})
+    ids = lambda x: F.array_join(F.transform(x, lambda s: s["ord"].cast("string")), ",").alias(x)
+    return mail.day_results(c.withColumn("score", F.col("confidence"))).select("day", "contacts", "high", ids("top_contacts"), ids("top_offers"))
+
+
+@Q(f"""WITH {b.REQUESTS}, d AS ({SQL["rate_limit_replay"].replace("WITH RECURSIVE", "WITH RECURSIVE")}), r AS (SELECT *, row_number() OVER (PARTITION BY provider ORDER BY event_id DESC) AS back FROM d)
+SELECT provider, count(*) AS total, avg(CASE WHEN outcome = 'success' THEN {_DBL(1)} ELSE {_DBL(0)} END) FILTER (back <= 10) AS success_rate, round(avg(delay_used) FILTER (back <= 10), 9) AS mean_delay FROM r WHERE back <= 50 GROUP BY provider""")
+def request_stats(spark, sf):
+    return rollups.request_stats(state.delays(b.requests(spark, sf)), "provider").withColumn("mean_delay", F.round("mean_delay", 9))
+
+
+@Q("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'no business_context,no actions' WHEN 2 THEN 'no contacts,no business_context,no actions' ELSE 'empty contact' END AS errors FROM events""")
+def answer_validation(spark, sf):
+    raw = F.expr("""CASE event_id % 4 WHEN 0 THEN '{"contacts":[{"name":"a"}],"business_context":{"urgency":"x"},"action_items":"y"}' WHEN 1 THEN 'text {"contacts":[]}' WHEN 2 THEN 'none' ELSE '{"contacts":[{"city":"x"}],"business_context":"c","recommended_actions":"y"}' END""")
+    e = b.table(spark, sf, "events").select("event_id", ct.parse_answer(raw).alias("a"))
+    return e.select("event_id", F.array_join(ct.answer_errors(F.col("a")), ",").alias("errors"))
+
+
+@Q(f"""WITH {b.MAILS}, a AS (SELECT DISTINCT lower(unnest(regexp_extract_all(body, '({EMAIL})', 1))) AS address FROM mails UNION SELECT DISTINCT sender FROM mails), s AS (SELECT DISTINCT sender AS address FROM mails WHERE doc_id % 2 = 0)
+SELECT address FROM a EXCEPT SELECT address FROM s""")
+def new_addresses(spark, sf):
+    m = b.mails(spark, sf)
+    found = m.select(F.explode(tx.recipients(F.col("body"))).alias("a")).select(F.lower("a").alias("address")).union(m.select("sender")).distinct()
+    return joins.unseen(found, m.where("doc_id % 2 = 0").select(F.col("sender").alias("address")), "address")
+
+
+@Q("""SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'pdf' WHEN doc_id % 5 = 1 THEN 'excel' WHEN doc_id % 5 = 2 THEN 'word' WHEN doc_id % 5 = 3 THEN 'ocr' ELSE 'text' END AS method, length(trim(text)) <= 100 AS needs_ocr,
+CASE WHEN doc_id % 3 = 0 THEN 'a.docx' WHEN doc_id % 3 = 1 THEN 'b.PDF' ELSE 'c.xlsm' END AS file, CASE doc_id % 3 WHEN 0 THEN 'docx' WHEN 1 THEN 'pdf_plugin' ELSE 'unsupported' END AS by_name FROM documents""")
+def extraction_dispatch(spark, sf):
+    mime = F.expr("CASE doc_id % 5 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'application/vnd.ms-excel' WHEN 2 THEN 'application/msword' WHEN 3 THEN 'image/png' ELSE 'text/plain' END")
+    file = F.expr("CASE doc_id % 3 WHEN 0 THEN 'a.docx' WHEN 1 THEN 'b.PDF' ELSE 'c.xlsm' END")
+    return b.table(spark, sf, "documents").select("doc_id", mail.method_by_mime(mime).alias("method"), mail.needs_ocr(F.col("text")).alias("needs_ocr"), file.alias("file"), mail.extraction_method(file).alias("by_name"))

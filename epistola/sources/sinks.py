@@ -45,3 +45,22 @@ def first_that_works(rows: DataFrame, *sinks) -> int:
             if at == len(sinks) - 1:
                 raise
     raise ValueError("no sink given")
+
+
+def write_stats(counters: DataFrame, path: str) -> None:
+    """A one-row aggregate as one JSON line."""
+    counters.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_tabs(tabs: dict[str, DataFrame], path: str) -> None:
+    """Each tab as a CSV table of its own; runs append, as rows of a spreadsheet would."""
+    for name, rows in tabs.items():
+        rows.write.mode("append").csv(f"{path}/{name}", header=True)
+
+
+def export_range(spine: DataFrame, results: DataFrame, path: str) -> DataFrame:
+    """Writes the results of a range of days, by day, and tells for each day whether there were any."""
+    wanted = results.join(spine, "day", "left_semi")
+    wanted.write.mode("overwrite").partitionBy("day").json(path)
+    found = wanted.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
+    return spine.join(found, "day", "left").select("day", F.coalesce("rows", F.lit(0)).alias("rows"), F.col("rows").isNotNull().alias("ok"))

@@ -284,3 +284,29 @@ def test_files_and_sinks(spark, tmp_path):
     stored = spark.createDataFrame([("2025-01-01", "a.pdf")], "date_folder string, original_filename string")
     new = spark.createDataFrame([("2025-01-01", "a.pdf", b"1"), ("2025-01-01", "b.pdf", b"2")], "date_folder string, original_filename string, content binary")
     assert [r["original_filename"] for r in sinks.write_new_attachments(new, stored, str(tmp_path / "att")).collect()] == ["b.pdf"]
+
+
+def test_plugins(spark):
+    rows = spark.createDataFrame([(1, "write to a@b.ru or c@d.ru, +7 495 123-45-67"), (2, None)], "i int, t string")
+    got = {r["i"]: r["a"] for r in plugins.answer(rows, "i", "t").select("i", ct.parse_answer(F.col("answer")).alias("a")).collect()}
+    assert [c["email"] for c in got[1]["contacts"]] == ["a@b.ru", "c@d.ru"] and got[2]["ok"]
+    broken = plugins.answer(rows, "i", "t", extractor=lambda t: 1 / 0).collect()
+    assert [r["answer"] for r in broken] == [None, None]
+    assert one(spark, plugins.addresses(F.lit('"Doe, A" <A@x.ru>, b@y.ru (note)'))) == ["a@x.ru", "b@y.ru"]
+    plugins.register_tables(spark)
+    assert spark.sql("SELECT * FROM explode_phones('call 8 495 123-45-67 now')").first()["phone"] == "8 495 123-45-67"
+    assert '"offer_number": "12/3"' in plugins.extract_offers("Offer No. 12/3, total 100 EUR")
+
+
+def test_sections_and_range_export(spark, tmp_path):
+    part = "array<struct<file_name:string,status:string,text:string,error:string>>"
+    rows = spark.createDataFrame([("hello", [("a.zip", "excluded", None, None), ("b.docx", "saved", "txt", None), ("c.docx", "saved", None, "bad")])], f"body string, parts {part}")
+    got = rows.select(mail.sectioned_text(F.col("body"), F.col("parts")).alias("t")).first()["t"]
+    assert got == "=== BODY ===\nhello\n\n=== LEFT OUT ===\na.zip: excluded\n\n=== ATTACHMENTS ===\n[b.docx]\ntxt\n\n=== ERRORS ===\nc.docx: bad"
+    spine = joins.date_spine(spark, "2024-01-01", "2024-01-02")
+    results = spark.createDataFrame([(datetime.date(2024, 1, 2), 1), (datetime.date(2024, 2, 1), 2)], "day date, x int")
+    assert {r["day"].day: r["ok"] for r in sinks.export_range(spine, results, str(tmp_path / "out")).collect()} == {1: False, 2: True}
+    sinks.write_stats(results.agg(F.count("x").alias("n")), str(tmp_path / "stats"))
+    sinks.write_tabs({"a": results}, str(tmp_path / "tabs"))
+    sinks.write_tabs({"a": results}, str(tmp_path / "tabs"))
+    assert spark.read.csv(str(tmp_path / "tabs/a"), header=True).count() == 4

@@ -46,4 +46,11 @@ def test_entry_has_rows(spark):
 def test_stream_gives_what_the_replay_gives(spark, sf):
     q = entry.queries()
     key = lambda r: (r["provider"], r["event_id"])
-    assert sorted(q["rate_limit_stream"](spark, sf).collect(), key=key) == sorted(q["rate_limit_replay"](spark, sf).collect(), key=key)
+    for stream, replay in (("rate_limit_stream", "rate_limit_replay"), ("circuit_breaker_stream", "circuit_breaker_replay")):
+        assert sorted(q[stream](spark, sf).collect(), key=key) == sorted(q[replay](spark, sf).collect(), key=key)
+
+
+def test_retry_stream_ends_as_the_batch_does(spark, sf):
+    q = entry.queries()
+    dead = {r["message"] for r in q["retry_stream"](spark, sf).where("state = 'dead'").collect()}
+    assert dead == {r["message"] for r in q["retry_dead_letter"](spark, sf).where("dead").collect()}
