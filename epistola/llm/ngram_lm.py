@@ -72,7 +72,8 @@ def load(path: str) -> dict[str, np.ndarray]:
     """Maps a file: straight from a shared file system, else from an unnamed map filled from the store."""
     store, place = _open_store(path)
     if isinstance(store, fs.LocalFileSystem):
-        raw = np.memmap(place, np.uint8, "r")
+        with open(place, "rb") as f:
+            raw = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8)  # keeps no file open, however many shards there are
     else:
         with store.open_input_stream(place) as f:
             whole = f.read()
@@ -84,6 +85,10 @@ def load(path: str) -> dict[str, np.ndarray]:
     return {k: raw[8 + n + at : 8 + n + at + np.dtype(kind).itemsize * size].view(kind) for k, (kind, size, at) in head.items()}
 
 
+#: Maps of the last model that this process used, by its path; a worker process serves many tasks.
+_MAPS: dict[str, dict] = {}
+
+
 # Elias-Fano --------------------------------------------------------------------------------------------------------------------------
 
 
@@ -239,19 +244,18 @@ class Model:
         self.hot_backoff = np.zeros(0)
         self.bigram_level = "counted"  # the bigrams' files while trigrams are counted, then "bigrams"
         self.levels: set[tuple[str, int]] = set()
-        self._maps: dict = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"_maps": {}}
 
     def mapped(self, level: str, shard: int):
         """A level's shard: its sequence and its other arrays; None if it has no file."""
         if (level, shard) not in self.levels:
             return None
-        if (level, shard) not in self._maps:
+        if self.path not in _MAPS:
+            _MAPS.clear()
+        maps = _MAPS.setdefault(self.path, {})
+        if (level, shard) not in maps:
             arrays = load(f"{self.path}/{level}-{shard}")
-            self._maps[level, shard] = EliasFano(arrays, "seq"), arrays
-        return self._maps[level, shard]
+            maps[level, shard] = EliasFano(arrays, "seq"), arrays
+        return maps[level, shard]
 
     # level 1: words
 
