@@ -11,11 +11,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Bytes of text handled at once inside a Python worker; bounds its memory whatever the partition size.
 CHUNK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1024:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")  # so that an Arrow batch of long texts stays small
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
