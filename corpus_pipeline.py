@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from epistola.llm import bpe, decontam, langid, simhash, toxicity
 from epistola.llm.common import settle, table
 
-#: Share of a text, by length of words, that its language must have.
-MIN_SHARE = 0.4
+#: Share of a text, by length of words, that its language must have; low, as a text that switches between languages is clean.
+MIN_SHARE = 0.3
 ORACLE_SQL = None
 
 

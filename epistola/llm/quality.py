@@ -2,7 +2,9 @@
 
 A line's features are rates of its characters and words, repeats within the line and of the line within the text, and the same rates of the
 lines before and after it, each cut into bins. Forward-backward gives every line's marginal in the whole text; the marginals of good
-weighted by line length are the document's score. Trained on the driver on a bounded sample; scoring reads each document once.
+weighted by line length add up to the document's share of good text, and a logistic curve fitted on the sample turns that share into the
+probability of label 1, as a document may be labelled bad for a part of its lines. Trained on the driver on a bounded sample; scoring
+reads each document once.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from .vector import LETTERS, NOT_SPACE, hash_words, hashes, member, spans, sums
 
 #: Labelled documents to learn from, at most, and the fold that is never learned from.
 SAMPLE, FOLDS, HELD_OUT = 3000, 3, 1
-BINS, ROUNDS, STEP, RIDGE = 10, 60, 0.3, 1e-5
+BINS, ROUNDS, STEP, RIDGE = 13, 60, 0.3, 1e-5
 #: Frequent function words of a few languages. Fixed values.
 COMMON = """the of and to in a is that for it as was with be by on not he this are or his from at which but have an had they you were their
 der die und das den von zu mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei
@@ -75,6 +77,15 @@ def lines(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, before, x
 
 
+#: Quantiles at which a feature is cut, and parts of its range: a rate that is high in a few lines only shows in the latter.
+QUANTILES, PARTS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.98], [0.02, 0.1, 0.25, 0.5, 0.75]
+
+
+def bin_edges(values: np.ndarray) -> np.ndarray:
+    low, high = values.min(), values.max()
+    return np.unique(np.concatenate([np.quantile(values, QUANTILES), low + (high - low) * np.array(PARTS)]))
+
+
 class Model:
     """cuts: bin edges of each feature; weights (features x 3 places x bins, 2). Without both labels the score is the share of label 1."""
 
@@ -97,27 +108,52 @@ class Model:
         starts, ends, before, x = lines(data, offsets)
         if not len(x) or not 0 < y.sum() < len(y):
             return self
-        self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-        # a rate that is nearly always 0 has a cut above 0 at least, whatever the quantiles
-        self.cuts = [c if len(c) > 1 or col.max() <= col.min() else np.unique(np.concatenate([c, [np.nextafter(col.min(), 1e9)], np.quantile(col[col > col.min()], [0.25, 0.5, 0.75])]))[:BINS] for c, col in zip(self.cuts, x.T, strict=True)]
+        self.cuts = [bin_edges(c) for c in x.T]
         at = self.buckets(x, before)
         state = np.repeat(y.astype(np.int64), np.diff(before))
         rows = 3 * x.shape[1] * (BINS + 2)
         emit = lambda w: w[at].sum(axis=1)
         grad = lambda r: np.stack([np.bincount(at.ravel(), np.repeat(r[:, j], at.shape[1]), rows) for j in range(2)], axis=1)
         self.weights, self.trans, self.start = crf.fit(emit, grad, np.zeros((rows, 2)), state, before, np.ones(len(state)), 2, ROUNDS, STEP, RIDGE)
+        share = self.share(starts, ends, before, x)
+        filled = np.diff(before) > 0
+        self.curve = logistic(_logit(share[filled]), y[filled])
         return self
 
+    def share(self, starts, ends, before, x) -> np.ndarray:
+        """The share of each text, by length, that the marginals give to good lines."""
+        good = crf.forward_backward(self.weights[self.buckets(x, before)].sum(axis=1), before, self.trans, self.start)[:, 1]
+        size = (ends - starts).astype(np.float64)
+        return np.clip(sums(good * size, before) / np.maximum(sums(size, before), 1e-300), 0, 1)
+
     def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Score and number of lines of each text; a text without a line has the prior."""
         starts, ends, before, x = lines(data, offsets)
         n = np.diff(before)
         if self.weights is None or not len(x):
             return np.full(len(n), self.prior), n
-        good = crf.forward_backward(self.weights[self.buckets(x, before)].sum(axis=1), before, self.trans, self.start)[:, 1]
-        size = (ends - starts).astype(np.float64)
-        whole = sums(size, before)
-        return np.where(n > 0, np.clip(sums(good * size, before) / np.maximum(whole, 1e-300), 0, 1), self.prior), n
+        slope, shift = self.curve
+        return np.where(n > 0, 1 / (1 + np.exp(-(slope * _logit(self.share(starts, ends, before, x)) + shift))), self.prior), n
+
+
+def _logit(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(p / (1 - p))
+
+
+def logistic(z: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """Slope and shift of the rising logistic curve that fits labels y at z, by Newton's method; (1, 0) where they can't tell one."""
+    slope, shift = 1.0, 0.0
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(slope * z + shift, -30, 30)))
+        w, g = p * (1 - p), y - p
+        a, b, c = (w * z * z).sum() + 1.0, (w * z).sum(), w.sum() + 1e-3  # the first with a ridge towards a slope of 1
+        u, v = (g * z).sum() - (slope - 1.0), g.sum()
+        det = a * c - b * b
+        if not det > 1e-12:
+            break
+        slope, shift = slope + (c * u - b * v) / det, shift + (a * v - b * u) / det
+    return (float(slope), float(shift)) if slope > 0 and np.isfinite(slope + shift) else (1.0, 0.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
