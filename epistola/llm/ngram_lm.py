@@ -551,6 +551,8 @@ def train(docs: DataFrame, path: str, parts: int) -> Model:
             yield from held.flush()
 
         told = docs.mapInArrow(run, "shard long, blob binary").unionByName(every).groupBy("shard").applyInPandas(write_trigrams, "shard long, n long").collect()
+        for s in counted:  # all have been written again as levels of the trie
+            store.delete_file(f"{place}/counted-{s}")
         model.bigram_level = "bigrams"
         model.levels -= {("counted", s) for s in counted}
         model.levels |= {("bigrams", s) for s in counted} | {("trigrams", r["shard"]) for r in told if r["n"]}
