@@ -5,7 +5,7 @@ hands it, read again, to the next. All stages but the last return the columns of
 
 * toxicity drops the rows that the trees score 0.5 or more; a null or empty text is not toxic;
 * language drops the rows without a letter (`und`) and those of which no learned language covers MIN_SHARE;
-* near_duplicates keeps one row of each group of linked SimHash fingerprints, that with the smallest doc_id;
+* near_duplicates keeps one row of each group of texts linked by a Jaccard similarity of 0.8 or more of their five-word shingles, that with the smallest doc_id;
 * decontaminate drops the rows that hold a verified benchmark passage;
 * encode returns the kept rows' ids, languages and token ids, and the SHA-256 of the bytes that these decode to.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from epistola.llm import bpe, decontam, langid, simhash, toxicity
+from epistola.llm import bpe, decontam, langid, nearcopies, toxicity
 from epistola.llm.common import settle, table
 
 #: Share of a text, by length of words, that its language must have; low, as a text that switches between languages is clean.
@@ -34,7 +34,7 @@ def keep_languages(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    return simhash.keep_one(docs)
+    return nearcopies.keep_one(docs)
 
 
 def decontaminate(spark, docs, sf_dir):

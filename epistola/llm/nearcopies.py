@@ -1,0 +1,123 @@
+"""Near-copies by exact Jaccard similarity of word shingles.
+
+Two texts are near-copies if their sets of WORDS-word shingles have a Jaccard similarity of LEAST or more; links are taken through
+others, and one row of each group stays. Texts with equal sets meet in one node. Nodes that share one of BANDS bands of ROWS minima are
+candidates, brought together by star contraction; a task takes one group of candidates, verifies on the exact sets what shares a band
+there, and returns a spanning forest of the verified links, never all pairs. A pair of similarity s shares no band with a probability of
+(1 - s ** ROWS) ** BANDS, at most 3e-6; nothing is linked that isn't verified.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import bounded_batches, raw_text, settle
+from .simhash import components
+from .vector import NOT_SPACE, hashes, mix, spans
+
+WORDS, LEAST = 5, 0.8
+#: Bands, and minima of a band.
+BANDS, ROWS = 32, 5
+_PLACES, _FACTORS, _SHIFTS = (np.random.Generator(np.random.PCG64(k)).integers(1, 1 << 62, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for k, n in ((11, WORDS), (12, BANDS * ROWS), (13, BANDS * ROWS)))
+#: Shingles whose minima are taken at once.
+_AT_ONCE = 1 << 9
+
+
+def shingles(h: np.ndarray) -> np.ndarray:
+    """The sorted set of shingle hashes of a text's word hashes; a shorter text is one shingle, no words none."""
+    n = len(h) - WORDS + 1
+    if n < 1:
+        h, n = np.concatenate([h, np.full(WORDS - len(h), len(h), np.uint64)]), min(1, len(h))
+    key = np.zeros(n, np.uint64)
+    for i in range(WORDS):
+        key += h[i : i + n] * _PLACES[i]
+    return np.unique(mix(key))
+
+
+def sets(column) -> list[np.ndarray]:
+    data, offsets = raw_text(column)
+    starts, ends, before = spans(data, offsets, NOT_SPACE)
+    h = hashes(data, starts, ends)
+    return [shingles(h[a:b]) for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True)]
+
+
+def bands(s: np.ndarray) -> np.ndarray:
+    """A key for each band; all alike for an empty set."""
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for at in range(0, len(s), _AT_ONCE):
+        least = np.minimum(least, (_FACTORS[:, None] * s[at : at + _AT_ONCE] ^ _SHIFTS[:, None]).min(axis=1))
+    key = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        key = mix(key * _PLACES[0] + row)
+    return key
+
+
+def node(s: np.ndarray) -> int:
+    """One 64-bit value for a set."""
+    return int(np.int64((mix(s * _PLACES[1]).sum(dtype=np.uint64) + np.uint64(len(s))).view(np.int64)))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    if min(len(a), len(b)) < LEAST * max(len(a), len(b)):
+        return False
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    both = int((a[at] == b).sum())
+    return both >= LEAST * (len(a) + len(b) - both)
+
+
+def verified(nodes: list[int], members: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """(node, representative) of a spanning forest of all near-copies that share a band."""
+    label = np.arange(len(nodes))
+    keys = np.array([bands(s) for s in members], np.uint64).reshape(-1, BANDS)
+    for k in range(BANDS):
+        order = np.argsort(keys[:, k], kind="stable")
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(keys[order, k]) != 0, [True]]))
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            block = order[lo:hi]
+            for i in range(len(block) - 1):
+                a, rest = int(block[i]), block[i + 1 :]
+                for b in rest[label[rest] != label[a]].tolist():
+                    if label[b] != label[a] and similar(members[a], members[b]):
+                        label[label == label[b]] = label[a]
+    return nodes, [nodes[x] for x in label.tolist()]
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, root) of every row of docs with an id: equal roots are linked near-copies; digest is the text's xxhash64."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("digest"))
+
+    def sign(batches):
+        for batch in bounded_batches(batches):
+            found = sets(batch.column(1))
+            keys = pa.array([bands(s).view(np.int64) for s in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([node(s) for s in found], pa.int64()), keys], names=["doc_id", "digest", "node", "bands"])
+
+    signed = settle(rows.mapInArrow(sign, "doc_id long, digest long, node long, bands array<long>"), "copies-signed")
+    first = F.min(F.struct("doc_id", "digest")).alias("first")
+    shared = signed.select("node", F.explode("bands").alias("band")).distinct()
+    heads = shared.groupBy("band").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    near = components(shared.join(heads, "band").select(F.col("node").alias("fp"), "rep").distinct())
+    near = near.unionByName(near.select(F.col("root").alias("node"), "root")).distinct()  # a root is no node of its own
+    chosen = signed.groupBy("node").agg(first).join(near, "node").select("node", "root", "first.*")
+    texts = rows.join(chosen, ["doc_id", "digest"]).dropDuplicates(["node"]).select("root", "node", "text")
+
+    def verify(frame: pd.DataFrame) -> pd.DataFrame:
+        fp, rep = verified(frame["node"].tolist(), sets(pa.array(frame["text"], pa.large_string())))
+        return pd.DataFrame({"fp": fp, "rep": rep})
+
+    linked = components(texts.groupBy("root").applyInPandas(verify, "fp long, rep long"))
+    return signed.select("doc_id", "digest", "node").join(linked, "node", "left").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of docs without the near-copies: of each group the row with the smallest id, once, whichever ids repeat; rows with a null id stay."""
+    first = groups(docs).groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("first")).select(F.col("first.doc_id").alias("kept_id"), F.col("first.digest").alias("kept_digest"))
+    named = docs.withColumn("kept_digest_", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = (F.col("doc_id").cast("long") == F.col("kept_id")) & (F.col("kept_digest_") == F.col("kept_digest"))
+    named = named.where("doc_id is not null").join(first, same, "left_semi").dropDuplicates(["doc_id", "kept_digest_"]).drop("kept_digest_")
+    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
