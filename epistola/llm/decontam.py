@@ -5,7 +5,7 @@ only the seeds that look at it. The benchmark's seed hashes are joined by hash t
 alignment of an item with the document, and each distinct alignment is verified once: a document is contaminated where at least
 RATIO of the words in some window of WINDOW words (the whole item, if shorter) agree. The benchmark is taken in blocks of bounded size, so
 that a worker holds one block however large the benchmark is; documents are never shuffled, and an alignment is one row whatever the number
-of its hits.
+of its hits. Items of fewer than six words are matched by masks over the whole item, at the same share.
 """
 
 from __future__ import annotations
@@ -20,7 +20,10 @@ from .vector import LETTERS, hashes, spans
 
 #: Masks, five words each; every window with four of five words intact, in whatever pattern, holds one of them within a few words.
 MASKS = ["111101", "101111", "110111", "11100101", "11010011"]
-#: Words of the window that is verified, and the share of them that must agree; words that an item must have.
+#: More masks for items that the five don't cover, by the item's words: whole items up to four, all but any one word of five or six.
+SHORT = {1: ["1"], 2: ["11"], 3: ["111"], 4: ["1111"], 5: ["1111", "10111", "11011", "11101"], 6: ["11111", "111011"]}
+_ALL = list(dict.fromkeys(MASKS + [m for some in SHORT.values() for m in some]))
+#: Words of the window that is verified, and the share of them that must agree; words from which an item has the five masks.
 WINDOW, RATIO, LEAST = 20, 0.8, 6
 #: Words of a benchmark block.
 BLOCK_WORDS = 1 << 20
@@ -32,14 +35,19 @@ _FACTORS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 62, 16, dtyp
 
 def seeds(h: np.ndarray, mask: int) -> np.ndarray:
     """The hash of each position's mask, for the positions at which the mask fits into h."""
-    places = [i for i, c in enumerate(MASKS[mask]) if c == "1"]
-    n = max(0, len(h) - len(MASKS[mask]) + 1)
+    places = [i for i, c in enumerate(_ALL[mask]) if c == "1"]
+    n = max(0, len(h) - len(_ALL[mask]) + 1)
     key = np.full(n, mask, np.uint64)
     for j, i in enumerate(places):
         key += h[i : i + n] * _FACTORS[j]
     return key
 
 
+def masks_of(n: int) -> list[int]:
+    """The masks that find an item of n words."""
+    return [_ALL.index(m) for m in (MASKS if n >= LEAST else []) + SHORT.get(n, [])]
+
+
 class Block:
     """Some benchmark items as word hashes, with their sorted seed hashes."""
 
@@ -47,8 +55,9 @@ class Block:
         self.ids = np.array([i for i, _ in items], np.int64)
         self.words = [h for _, h in items]
         keys, owner, place = [], [], []
+        self.masks = sorted({m for h in self.words for m in masks_of(len(h))})
         for at, h in enumerate(self.words):
-            for m in range(len(MASKS)):
+            for m in masks_of(len(h)):
                 k = seeds(h, m)
                 keys.append(k)
                 owner.append(np.full(len(k), at))
@@ -62,7 +71,7 @@ class Block:
     def alignments(self, h: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (item, place of the item's first word among all words) of the seed hits; hits across two texts are verified away."""
         found = []
-        for m in range(len(MASKS)):
+        for m in self.masks:
             key = seeds(h, m)
             at = np.flatnonzero(self.table[(key >> np.uint64(44)).astype(np.int64)])
             lo, hi = np.searchsorted(self.keys, key[at]), np.searchsorted(self.keys, key[at], "right")
@@ -87,19 +96,31 @@ class Block:
                 yield text, int(self.ids[item]), float(best / w)
 
 
+def lone_characters(data: np.ndarray) -> np.ndarray:
+    """The edges of the characters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han), each of which is a word."""
+    at = np.flatnonzero(data >= 0xE0)
+    a, b = data[at], data[at + 1]
+    south = (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB) | (a == 0xE1) & ((b >= 0x80) & (b <= 0x82) | (b == 0x9E) | (b == 0x9F))
+    east = (a == 0xE2) & (b >= 0xBA) | (a >= 0xE3) & (a <= 0xE9) | (a == 0xEF) & ((b >= 0xA4) & (b <= 0xAB) | (b == 0xBC) | (b == 0xBD))
+    alone = south | east | (a == 0xF0) & (b >= 0xA0)
+    at, size = at[alone], np.where(a[alone] == 0xF0, 4, 3)
+    return np.concatenate([at, at + size])
+
+
 def word_hashes(column) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = raw_text(column)
-    starts, ends, before = spans(data, offsets, _INSIDE)
-    return hashes(data, starts, ends), before
+    starts, ends, _ = spans(data, np.union1d(offsets, lone_characters(data)), _INSIDE)
+    return hashes(data, starts, ends), np.searchsorted(starts, offsets)
 
 
-def blocks(benchmark: DataFrame):
-    """The benchmark in blocks, read portion by portion; items with fewer than LEAST words can't be told from chance and are left out."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+def blocks(benchmark: DataFrame, unnamed: bool = False):
+    """The benchmark in blocks, read portion by portion; items without a word are left out, and those without an id unless `unnamed` (id -1)."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    rows = rows.withColumn("item_id", F.coalesce("item_id", F.lit(-1))) if unnamed else rows.where("item_id is not null")
     items, size = [], 0
     for row in rows.toLocalIterator():
         h, _ = word_hashes(pa.array([row["text"]]))
-        if len(h) >= LEAST:
+        if len(h):
             items.append((row["item_id"], h))
             size += len(h)
         if size >= BLOCK_WORDS:
@@ -156,6 +177,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return filter_rows(rows, passes)
 
-    for block in blocks(benchmark):
+    for block in blocks(benchmark, unnamed=True):
         docs = sift(docs, block)
     return docs

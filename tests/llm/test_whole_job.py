@@ -3,7 +3,7 @@
 import itertools
 
 import corpus_pipeline
-from epistola.llm import simhash
+from epistola.llm import decontam, simhash
 from tests.llm.test_llm_operators import DOC, prose
 
 
@@ -47,3 +47,28 @@ def test_repeated_ids_of_different_groups_both_stay(spark):
     d = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b), (1, a), (None, a), (None, None)], DOC)
     kept = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, d, "").collect() if r["doc_id"])
     assert kept == sorted([(1, a), (1, b)])
+
+
+# op7
+
+
+def test_short_and_unspaced_items_by_brute_force(spark):
+    items = [(n, prose(n, 900 + n)) for n in range(1, 8)] + [(20, "今天天气很好我们一起去公园散步吧朋友们"), (21, "東京タワー"), (22, "สวัสดีครับผมชื่อสมชาย")]
+    rows, want = [], {}
+    for i, text in items:
+        w = text.split() if i < 20 else list(text)
+        glue = " " if i < 20 else ""
+        for k in [None, *range(len(w))]:  # whole, and with one word replaced
+            key = 1000 * i + (0 if k is None else k + 1)
+            rows.append((key, prose(40, key) + " " + glue.join("zq" if j == k else x for j, x in enumerate(w)) + " " + prose(40, key + 7)))
+            want[key] = k is None or len(w) - 1 >= 0.8 * min(len(w), 20)
+    d, bench = spark.createDataFrame(rows, DOC), spark.createDataFrame([(i, f"{t}.") for i, t in items], "item_id long, text string")
+    got = {r["doc_id"]: key in r["item_ids"] for r in decontam.find(d, bench).collect() for key in [r["doc_id"] // 1000]}
+    assert got == want
+
+
+def test_items_without_an_id_are_removed_too(spark):
+    item = prose(20, 31)
+    d = spark.createDataFrame([(1, prose(30, 1) + " " + item), (2, prose(30, 2))], DOC)
+    bench = spark.createDataFrame([(None, item)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontam.keep_clean(d, bench).collect()] == [2]
