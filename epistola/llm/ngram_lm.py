@@ -414,8 +414,9 @@ class Model:
 # building ----------------------------------------------------------------------------------------------------------------------------
 
 
-def train(docs: DataFrame, path: str, parts: int) -> Model:
-    """Builds the trie of all rows of docs (doc_id, text) in files below `path`. parts: tasks that the input should be merged by, at least."""
+def train(docs: DataFrame, path: str, parts: int, least: int = LEAST) -> Model:
+    """Builds the trie of all rows of docs (doc_id, text) in files below `path`. parts: tasks that the input should be merged by, at least;
+    least: count from which a bigram or trigram is kept, 1 for all."""
     model = Model(path, max(3, (max(1, parts) - 1).bit_length()))
     store, place = _open_store(path)
     store.create_dir(place, recursive=True)
@@ -472,7 +473,7 @@ def train(docs: DataFrame, path: str, parts: int) -> Model:
 
     def bigram_keys(column):
         ids, often, joined = chain(column, model)
-        at = np.flatnonzero(joined & (often[:-1] >= LEAST) & (often[1:] >= LEAST))  # a bigram isn't more frequent than its words
+        at = np.flatnonzero(joined & (often[:-1] >= least) & (often[1:] >= least))  # a bigram isn't more frequent than its words
         return ids[at].astype(np.uint64) << _U(32) | ids[at + 1].astype(np.uint64)
 
     def word_counts(ids: np.ndarray) -> np.ndarray:
@@ -486,7 +487,7 @@ def train(docs: DataFrame, path: str, parts: int) -> Model:
     def write_bigrams(frame: pd.DataFrame) -> pd.DataFrame:
         shard = int(frame["shard"].iloc[0])
         keys, counts = merged_shard(frame)
-        keys, counts = keys[counts >= LEAST], counts[counts >= LEAST]
+        keys, counts = keys[counts >= least], counts[counts >= least]
         left = 0.0
         if len(keys):
             start = keys[0] >> _U(32) << _U(32)
@@ -526,7 +527,7 @@ def train(docs: DataFrame, path: str, parts: int) -> Model:
         shard = int(frame["shard"].iloc[0])
         parts = [b for b in frame["blob"] if b is not None]
         keys, counts = merged_shard(frame[frame["blob"].notna()]) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        keys, counts = keys[counts >= LEAST], counts[counts >= LEAST]
+        keys, counts = keys[counts >= least], counts[counts >= least]
         bigrams = dict(load(f"{path}/counted-{shard}"))
         often = bigrams.pop("count")
         backoff = np.zeros(len(often), np.uint16)
@@ -577,10 +578,10 @@ def is_held_out(id_col):
     return F.coalesce(crc_mod(id_col, FOLDS) == HELD_OUT, F.lit(False))
 
 
-def train_and_score(docs: DataFrame) -> DataFrame:
+def train_and_score(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Scores every row of docs by a model of those outside the held-out fold (crc32 of the id as text). Repeated rows count as often as they occur."""
     spark = docs.sparkSession
     learned = texts(docs).where(~is_held_out(F.col("doc_id")))
     parts = learned.rdd.getNumPartitions()  # follows the input's bytes; nothing runs
-    model = train(learned, work_dir(spark, "ngram-trie"), 2 * parts)
+    model = train(learned, work_dir(spark, "ngram-trie"), 2 * parts, least)
     return score(docs, model).select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -20,6 +20,12 @@ def op1_ngram_trie(spark, sf_dir):
     return ngram_lm.train_and_score(table(spark, sf_dir, "documents"))
 
 
+def op1_ngram_trie_whole(spark, sf_dir):
+    from . import ngram_lm
+
+    return ngram_lm.train_and_score(table(spark, sf_dir, "documents"), least=1)
+
+
 def op2_bottom_k_sketch(spark, sf_dir):
     from . import sketch
 
@@ -91,6 +97,7 @@ def op10_quality_lines(spark, sf_dir):
 
 QUERIES = {
     "op1_ngram_trie": op1_ngram_trie,
+    "op1_ngram_trie_whole": op1_ngram_trie_whole,
     "op2_bottom_k_sketch": op2_bottom_k_sketch,
     "op3_url_reputation": op3_url_reputation,
     "op4_simhash_gray": op4_simhash_gray,

@@ -1,9 +1,13 @@
 """Places at which operators once did less than the whole job."""
 
+import inspect
 import itertools
 
+import pytest
+
 import corpus_pipeline
-from epistola.llm import decontam, simhash
+from epistola.llm import decontam, ngram_lm, registry, simhash
+from tests.llm import test_llm_operators as brute
 from tests.llm.test_llm_operators import DOC, prose
 
 
@@ -72,3 +76,16 @@ def test_items_without_an_id_are_removed_too(spark):
     d = spark.createDataFrame([(1, prose(30, 1) + " " + item), (2, prose(30, 2))], DOC)
     bench = spark.createDataFrame([(None, item)], "item_id long, text string")
     assert [r["doc_id"] for r in decontam.keep_clean(d, bench).collect()] == [2]
+
+
+# op1
+
+
+def test_whole_trie_keeps_what_occurs_once(spark, sf):
+    docs = registry.table(spark, sf, "documents").limit(60).cache()
+    kept = {}
+    exec(inspect.getsource(brute._brute_lm).replace("m >= 2", "m >= 1"), vars(brute) | {}, kept)  # the plain model, nothing pruned
+    got = {r["doc_id"]: r["score"] for r in ngram_lm.train_and_score(docs, least=1).collect()}
+    for i, _, n, *_, score in kept["_brute_lm"]([(r["doc_id"], r["text"]) for r in docs.collect()]):
+        assert got[i] == pytest.approx(score, abs=1e-3 * n)
+    assert "op1_ngram_trie_whole" in registry.QUERIES
