@@ -162,6 +162,12 @@ def phone_grammar(spark, sf):
     return c.select("ord", "found", phones.is_mobile(F.col("found")).cast("string").alias("mobile"), F.array_join(phones.extensions(F.col("text")), ",").alias("extension"), F.array_join(phones.comma_pairs(F.col("pair")), ",").alias("pair"))
 
 
+@Q()
+def phones_extracted(spark, sf):
+    found = phones.extract_phones(F.col("body"))
+    return b.mails(spark, sf).select("doc_id", F.size(found).cast("long").alias("n"), F.array_join(found, ",").alias("numbers"))
+
+
 _PHONE_LIKE = r"\+?[0-9][0-9()\-]{7,18}[0-9]"
 
 

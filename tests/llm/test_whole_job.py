@@ -2,11 +2,14 @@
 
 import inspect
 import itertools
+import re
 
 import pytest
 
 import corpus_pipeline
+from epistola.functions import phones
 from epistola.llm import decontam, ngram_lm, registry, simhash
+from epistola.plans import catalogue
 from tests.llm import test_llm_operators as brute
 from tests.llm.test_llm_operators import DOC, prose
 
@@ -89,3 +92,20 @@ def test_whole_trie_keeps_what_occurs_once(spark, sf):
     for i, _, n, *_, score in kept["_brute_lm"]([(r["doc_id"], r["text"]) for r in docs.collect()]):
         assert got[i] == pytest.approx(score, abs=1e-3 * n)
     assert "op1_ngram_trie_whole" in registry.QUERIES
+
+
+# phones
+
+
+def test_numbers_of_whole_texts_by_brute_force(spark, sf, tmp_path):
+    far = "x " * 9000 + "tel 8 (916) 123-45-67"
+    rows = [(1, far), (2, "+7 495 111-22-33, 84951112233 and 8-916-000-11-22"), (3, None)]
+    docs = spark.createDataFrame(rows, DOC).selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) as long) AS n_chars")
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    for path in (f"file://{tmp_path}", sf):
+        texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+        for r in catalogue.phones_extracted(spark, path).collect():
+            found = re.findall(phones.NUMBER, texts[r["doc_id"]], re.ASCII)
+            digits = [re.sub(r"[^0-9]", "", x)[-10:] for x in found]
+            want = list(dict.fromkeys(f"+7 ({d[:3]}) {d[3:6]}-{d[6:8]}-{d[8:]}" for d in digits))
+            assert (r["n"], r["numbers"]) == (len(want), ",".join(want))
