@@ -67,6 +67,11 @@ def safe_filename(spark, sf):
     return b.table(spark, sf, "documents").select("doc_id", tx.safe_filename(F.substring("text", 1, 80)).alias("name"))
 
 
+@Q(r"SELECT doc_id, regexp_replace(text, '[^\p{L}\p{M}\p{Nd}\p{Pc}\s\-\.]', '_', 'g') AS name FROM documents")
+def safe_filename_whole(spark, sf):
+    return b.table(spark, sf, "documents").select("doc_id", tx.safe_filename(F.col("text")).alias("name"))
+
+
 @Q(f"""WITH {b.MAILS} SELECT count(*) AS mails, CAST(sum(length(body)) AS BIGINT) AS chars, CAST(floor(sum(length(body)) / 3.0) AS BIGINT) AS tokens,
 CAST(count(*) FILTER (length(body) > 12000) AS BIGINT) AS long_mails FROM mails""")
 def token_estimate(spark, sf):
@@ -441,6 +446,12 @@ def date_spine_left_join(spark, sf):
     return joins.on_spine(joins.date_spine(spark, "1995-01-01", "1995-12-31"), results)
 
 
+@Q(f"""WITH {b.ORDERS}, d AS (SELECT CAST(unnest(generate_series(DATE '1994-12-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS day), r AS (SELECT day, count(*) AS n FROM mailed GROUP BY day)
+SELECT d.day, r.n, r.n IS NOT NULL AS found FROM d LEFT JOIN r USING (day)""")
+def date_spine_all_orders(spark, sf):
+    return joins.on_spine(joins.date_spine(spark, "1994-12-01", "2001-12-31"), rollups.per_day(b.orders(spark, sf), "day"))
+
+
 @Q("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def unseen_anti_join(spark, sf):
     return joins.unseen(b.table(spark, sf, "documents").select("doc_id", "lang"), b.table(spark, sf, "labels"), "doc_id")

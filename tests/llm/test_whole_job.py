@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from epistola.functions import phones
-from epistola.llm import decontam, ngram_lm, registry, simhash
+from epistola.llm import decontam, licenses, ngram_lm, registry, simhash
 from epistola.plans import catalogue
 from tests.llm import test_llm_operators as brute
 from tests.llm.test_llm_operators import DOC, prose
@@ -109,3 +109,11 @@ def test_numbers_of_whole_texts_by_brute_force(spark, sf, tmp_path):
             digits = [re.sub(r"[^0-9]", "", x)[-10:] for x in found]
             want = list(dict.fromkeys(f"+7 ({d[:3]}) {d[3:6]}-{d[6:8]}-{d[8:]}" for d in digits))
             assert (r["n"], r["numbers"]) == (len(want), ",".join(want))
+
+
+# spine
+
+
+def test_every_order_has_its_day(spark, sf):
+    rows = catalogue.date_spine_all_orders(spark, sf).collect()
+    assert sum(r["n"] or 0 for r in rows) == spark.read.parquet(f"{sf}/orders.parquet").count() and any(not r["found"] for r in rows)
