@@ -87,7 +87,20 @@ def spans(docs: DataFrame, notices=None, base=None) -> DataFrame:
     start, end = F.col("diagonal") + F.col("lo"), F.col("diagonal") + F.col("hi") + 1
     apart = F.col("is_base") | (F.col("diagonal") - F.lag("diagonal").over(order) > STEP) | (start > F.lag(end).over(order) + F.col("size"))
     votes = votes.withColumn("cluster", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = votes.groupBy(*key, "cluster").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"), F.min(start).alias("first_word"), F.max(end).alias("last_word"))
+    # of a cluster that is too wide, each diagonal with those so near above it that together they can't be: a full diagonal among them
+    extra = F.floor(F.col("size") * (STRETCH - 1)).cast("int")
+    longest = max((len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)) for _, text in (NOTICES if notices is None else notices)), default=0)
+    near = Window.partitionBy("row_id", "template").orderBy("diagonal").rangeBetween(0, int(longest * (STRETCH - 1)))
+    vote = F.struct("diagonal", "cluster", "seen", start.alias("first_word"), end.alias("last_word"))
+    votes = votes.withColumn("run", F.filter(F.collect_list(vote).over(near), lambda v: (v["cluster"] == F.col("cluster")) & (v["diagonal"] <= F.col("diagonal") + extra)))
+
+    def span(found):
+        seen = F.array_distinct(F.flatten(F.transform(found, lambda v: v["seen"])))
+        return F.struct(seen.alias("seen"), F.array_min(F.transform(found, lambda v: v["first_word"])).alias("first_word"), F.array_max(F.transform(found, lambda v: v["last_word"])).alias("last_word"))
+
+    merged = votes.groupBy(*key, "cluster").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"), F.min(start).alias("first_word"), F.max(end).alias("last_word"), F.collect_list(span(F.col("run"))).alias("runs"))
+    fits = (F.col("template") < 0) | F.col("is_base") | (F.col("last_word") - F.col("first_word") + 1 <= F.ceil(F.col("size") * STRETCH))
+    merged = merged.withColumn("span", F.explode(F.when(fits, F.array(F.struct("seen", "first_word", "last_word"))).otherwise(F.col("runs")))).select(*key, "span.*")
     covered = F.size(F.array_union(F.col("seen"), F.transform("seen", lambda i: i + 1)))  # a gram covers two words
     merged = merged.withColumn("cover", F.when(F.col("template") >= 0, covered / F.col("size")).otherwise(0.0))
     exact = F.size("seen") == F.col("size") - 1

@@ -117,3 +117,12 @@ def test_numbers_of_whole_texts_by_brute_force(spark, sf, tmp_path):
 def test_every_order_has_its_day(spark, sf):
     rows = catalogue.date_spine_all_orders(spark, sf).collect()
     assert sum(r["n"] or 0 for r in rows) == spark.read.parquet(f"{sf}/orders.parquet").count() and any(not r["found"] for r in rows)
+
+
+# op5
+
+
+def test_full_notices_beside_partial_ones(spark):
+    rows = [(1, "CC BY, CC BY-NC"), (2, "CC BY CC BY-ND"), (3, "BSD License BSD License"), (4, "CC BY-NC"), (5, "BSD here")]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {1: ("cc-by,cc-by-nc", 1.0), 2: ("cc-by,cc-by-nd", 1.0), 3: ("bsd", 1.0), 4: ("cc-by,cc-by-nc", 1.0), 5: ("", 0.0)}
