@@ -2,54 +2,43 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import forget, settle  # noqa: F401  (the operators of this subpackage take them from here)
+from ..operators.components import shared_path as work_dir  # noqa: F401
 from ..shipping import ship
 
-#: Bytes of text handled at once inside a Python worker; bounds its memory whatever the partition size.
+#: Bytes of text handled at once inside a Python worker; bounds its memory whatever the partition size (Spark itself ends an Arrow batch at 64 MB).
 CHUNK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1024:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")  # so that an Arrow batch of long texts stays small
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) only, so that extra or clashing columns never reach an operator; a null text is empty."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+def whole(text: str | Column) -> Column:
+    """A text as a string; a null one is empty."""
+    return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir, which all executors share; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='epistola-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text) only, so that extra or clashing columns never reach an operator; a null text is empty."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("text"))
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes df to the shared folder as a table and reads it again."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def digest(text: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a text, as columns d1 and d2: two texts meet in both with a chance of 2 to the power -128."""
+    return [F.xxhash64(text).alias("d1"), F.xxhash64(F.lit("second"), text).alias("d2")]
 
 
-def forget(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes the files of a settled table that nothing will read again."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def renamed(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
+    """docs with its columns named c0, c1, ..., so that no name clashes, and the new name of its text."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), f"c{docs.columns.index(text_col)}"
 
 
 def bounded_batches(batches, limit: int = CHUNK_BYTES):
@@ -105,9 +94,8 @@ def filter_rows(docs: DataFrame, passes, text_col: str = "text") -> DataFrame:
 
     passes(column) gives a boolean array for an Arrow column of texts, in which a null is an empty string.
     """
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    text = F.coalesce(F.col(names[docs.columns.index(text_col)]).cast("string"), F.lit(""))
+    plain, name = renamed(docs, text_col)
+    names, text = plain.columns, whole(name)
     schema = ", ".join(f"{n} {kind}" for n, kind in plain.dtypes)
 
     def run(batches):
