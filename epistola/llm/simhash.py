@@ -1,32 +1,46 @@
 """SimHash near-duplicates with a Gray-order hierarchical index.
 
 Fingerprints at most D bits apart agree on at least one of the choices of m - D among m blocks of bits. For each choice, fingerprints
-go to shards by the top bits of the chosen blocks; a shard too large for one task is dealt into chunks, and each pair of chunks is a
-task of its own, so nothing is capped. Inside a task the fingerprints are sorted by Gray rank, which brings alike patterns together,
+go to shards by the top bits of the chosen blocks; a shard too large for one task is dealt into chunks, each chunk and each pair of chunks being
+a group of its own, so nothing is capped. Inside a group the fingerprints are sorted by Gray rank, which brings alike patterns together,
 and every 16 neighbours, then every 16 groups, share an upper node with the bits on which all below agree. A search adds up the
 differences on those shared bits from the root down, counting at each node only the bits new to it, and drops a node with all below it
-as soon as the sum exceeds D. A task returns a spanning forest of the links that it finds, never all pairs, and the forests are joined into
+as soon as the sum exceeds D. A group returns a spanning forest of the links that it finds, never all pairs, and the forests are joined into
 components by alternating star contractions, whose state is a table in the shared folder.
+
+Near copies (`keep_one`) take the same index with a wide radius. Texts of a Jaccard similarity of LEAST or more in their sets of five-word shingles
+lie about 20 of 128 bits apart and at most WIDE, which is too far for blocks to agree for certain; shards are then random choices of bits, as many as let RECALL of the
+pairs at the very threshold meet in one, and more of those that are closer. Near pairs of a shard are only candidates: a link is a pair whose texts pass when compared
+shingle by shingle. A forest of the candidates of a few choices is compared first, which joins large groups at a link or two for each text; then texts that have
+a candidate outside their group in any shard are brought there, and all such candidates are compared until none is left between two groups.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, forget, settle, texts
+from ..operators.components import components
+from .common import bounded_batches, digest, raw_text, renamed, settle, texts, whole
+from .vector import NOT_SPACE, hashes, mix, spans
 
 BITS, SEED, WORDS, MAX_DIFF = 64, 42, 4, 4
-#: Fingerprints that a task should index, and the size from which a shard is dealt into chunks; children of an index node.
+#: Fingerprints that a group should index, and the size from which a shard is dealt into chunks; children of an index node.
 SHARD, LARGE, FAN = 8192, 8192, 16
 #: Candidate pairs held at once while searching.
 PAIRS = 1 << 21
+#: Near copies: words of a shingle, similarity, bits of a fingerprint, bits that near copies differ in at most, and the radii at which the
+#: first round takes candidates, near ones first; share of the pairs at the threshold that meet in a shard, fingerprints of a shard, choices of the
+#: first round; shingles of a chunk, from which on a shard is dealt into chunks too.
+SHINGLE, LEAST, WIDE_BITS, WIDE, STEPS = 5, 0.8, 128, 32, (8, 16, 24, 32)
+RECALL, BUCKET, FIRST, HEAVY = 0.99, 1024, 2, 1 << 21
+_U = np.uint64
 
 
 def fingerprint(text: str, n: int = WORDS) -> int:
@@ -36,17 +50,21 @@ def fingerprint(text: str, n: int = WORDS) -> int:
         return 0
     flat = b" ".join(w)
     if len(w) <= n:
-        hashes = np.array([xxhash.xxh64_intdigest(flat, SEED)], np.uint64)
+        hashed = np.array([xxhash.xxh64_intdigest(flat, SEED)], np.uint64)
     else:
         ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
         starts = np.concatenate([[0], ends[:-1] + 1])
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter([digest(flat[a:b], SEED) for a, b in zip(starts[: len(w) - n + 1].tolist(), ends[n - 1 :].tolist(), strict=True)], np.uint64, len(w) - n + 1)
-    count = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        count += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-    bits = np.packbits((2 * count > len(hashes)), bitorder="little").view("<u8")[0]
-    return int(np.int64(np.uint64(bits)))
+        digest_ = xxhash.xxh64_intdigest
+        hashed = np.fromiter([digest_(flat[a:b], SEED) for a, b in zip(starts[: len(w) - n + 1].tolist(), ends[n - 1 :].tolist(), strict=True)], np.uint64, len(w) - n + 1)
+    return int(majority(hashed).view(np.int64))
+
+
+def majority(h: np.ndarray) -> np.uint64:
+    """The bits that are set in over half of the hashes."""
+    count = np.zeros(64, np.int64)
+    for at in range(0, len(h), 1 << 14):
+        count += np.unpackbits(h[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+    return np.packbits(2 * count > len(h), bitorder="little").view("<u8")[0]
 
 
 def fingerprints(docs: DataFrame, n: int = WORDS) -> DataFrame:
@@ -59,43 +77,55 @@ def fingerprints(docs: DataFrame, n: int = WORDS) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, fp long")
 
 
+# index -------------------------------------------------------------------------------------------------------------------------------
+
+
 def gray_rank(codes: np.ndarray) -> np.ndarray:
     """The position of each code in the reflected Gray sequence."""
     rank = codes.copy()
     for step in (1, 2, 4, 8, 16, 32):
-        rank ^= rank >> np.uint64(step)
+        rank ^= rank >> _U(step)
     return rank
 
 
+def gray_order(codes: np.ndarray) -> np.ndarray:
+    """The order of codes (n, words) in the reflected Gray sequence of all their bits, the first word's first."""
+    ranks, odd = [], np.zeros(len(codes), bool)
+    for word in codes.T:
+        rank = np.where(odd, ~gray_rank(word), gray_rank(word))
+        odd = (rank & _U(1)).astype(bool)
+        ranks.append(rank)
+    return np.lexsort(ranks[::-1])
+
+
 class GrayIndex:
-    """Levels of (pattern, mask of shared bits, mask of the bits that the parent does not share), leaves first; codes by Gray rank."""
+    """Levels of (pattern, mask of the bits that the parent does not share), leaves first; codes (n, words) in Gray order."""
 
     def __init__(self, codes: np.ndarray, fan: int = FAN):
-        self.order = np.argsort(gray_rank(codes), kind="stable")
+        self.order = gray_order(codes)
         self.codes, self.fan = codes[self.order], fan
-        pattern, mask = self.codes, np.full(len(codes), ~np.uint64(0))
+        pattern, mask = self.codes, np.full(codes.shape, ~_U(0))
         self.levels = []
-        while True:
-            if len(pattern) <= fan:
-                self.levels.append((pattern, mask, mask))
-                break
+        while len(pattern) > fan:
             heads = np.arange(0, len(pattern), fan)
             same = np.bitwise_and.reduceat(mask, heads)
             ones = np.bitwise_and.reduceat(pattern, heads)
             zeros = np.bitwise_and.reduceat(~pattern, heads)
             up_mask = same & (ones | zeros)
-            self.levels.append((pattern, mask, mask & ~np.repeat(up_mask, fan)[: len(pattern)]))
+            self.levels.append((pattern, mask & ~np.repeat(up_mask, fan, axis=0)[: len(pattern)]))
             pattern, mask = ones & up_mask, up_mask
+        self.levels.append((pattern, mask))
 
-    def search(self, queries: np.ndarray, most: int):
-        """(query, place) index arrays of all codes at most `most` bits from a query, in portions of bounded size."""
+    def search(self, queries: np.ndarray, most: int, after: int = 0):
+        """(query, place) index arrays of all codes at most `most` bits from a query, in portions of bounded size; places before `after` may be left out."""
         top = len(self.levels) - 1
         n = len(self.levels[top][0])
-        stack = [(top, np.repeat(np.arange(len(queries)), n), np.tile(np.arange(n), len(queries)), np.zeros(len(queries) * n, np.uint8))]
+        stack = [(top, np.repeat(np.arange(len(queries)), n), np.tile(np.arange(n), len(queries)), np.zeros(len(queries) * n, np.uint16))]
         while stack:
             level, q, node, acc = stack.pop()
-            pattern, _, fresh = self.levels[level]
-            acc = acc + np.bitwise_count((queries[q] ^ pattern[node]) & fresh[node])
+            pattern, fresh = self.levels[level]
+            for w in range(queries.shape[1]):
+                acc = acc + np.bitwise_count((queries[q, w] ^ pattern[node, w]) & fresh[node, w])
             near = acc <= most
             q, node, acc = q[near], node[near], acc[near]
             if not len(q):
@@ -103,43 +133,81 @@ class GrayIndex:
             if level == 0:
                 yield q, node
                 continue
-            below = len(self.levels[level - 1][0])
+            below, span = len(self.levels[level - 1][0]), self.fan ** (level - 1)
             for at in range(0, len(q), PAIRS // self.fan):
                 part = slice(at, at + PAIRS // self.fan)
                 child = (node[part, None] * self.fan + np.arange(self.fan)).ravel()
-                real = child < below
+                real = (child < below) & ((child + 1) * span > after)
                 stack.append((level - 1, np.repeat(q[part], self.fan)[real], child[real], np.repeat(acc[part], self.fan)[real]))
 
 
-def forest(codes: np.ndarray, most: int = MAX_DIFF) -> tuple[np.ndarray, np.ndarray]:
-    """(code, representative) for each code that is linked, directly or through others among them, to a representative."""
-    index = GrayIndex(codes)
-    label = np.arange(len(codes))
-    step = 256
-    for at in range(0, len(codes), step):
-        for q, node in index.search(index.codes[at : at + step], most):
-            a, b = label[q + at], label[node]
-            apart = a != b
-            if not apart.any():
-                continue
-            pairs = np.unique(np.minimum(a, b)[apart] * len(codes) + np.maximum(a, b)[apart])
-            parent: dict[int, int] = {}
-
-            def root(x, parent=parent):
-                while (p := parent.get(x, x)) != x:
-                    x = p
-                return x
-
-            for x, y in zip((pairs // len(codes)).tolist(), (pairs % len(codes)).tolist(), strict=True):
-                x, y = root(x), root(y)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
+def near(codes: np.ndarray, most: int, second: np.ndarray | None = None):
+    """Places (a, b) of all pairs of codes at most `most` bits apart, in portions; with `second` only pairs of a marked and an unmarked code."""
+    held = np.arange(len(codes)) if second is None else np.flatnonzero(~second)
+    asked = held if second is None else np.flatnonzero(second)
+    if not len(held) or not len(asked):
+        return
+    index = GrayIndex(codes[held])
+    held = held[index.order]
+    asked = held if second is None else asked[gray_order(codes[asked])]
+    for at in range(0, len(asked), 256):
+        some = asked[at : at + 256]
+        for q, node in index.search(codes[some], most, at if second is None else 0):
+            yield some[q], held[node]
+
+
+class Groups:
+    """Labels of places that grow together, pair by pair."""
+
+    def __init__(self, label: np.ndarray):
+        self.label = np.unique(label, return_inverse=True)[1]
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self.label[a] != self.label[b]
+
+    def join(self, a: np.ndarray, b: np.ndarray, passes=None) -> list[int]:
+        """Joins the groups of each pair (that passes, if its groups are still apart), and tells which pairs joined two groups."""
+        parent: dict[int, int] = {}
+
+        def root(x):
+            while (p := parent.get(x, x)) != x:
+                x = p
+            return x
+
+        done = []
+        for i, (x, y) in enumerate(zip(self.label[a].tolist(), self.label[b].tolist(), strict=True)):
+            x, y = root(x), root(y)
+            if x != y and (passes is None or passes(i)):
+                parent[max(x, y)] = min(x, y)
+                done.append(i)
+        if done:
+            to = np.arange(self.label.max() + 1)
             moved = np.array(sorted(parent), np.int64)
-            to = np.arange(len(codes))
             to[moved] = [root(x) for x in moved.tolist()]
-            label = to[label]
-    linked = np.flatnonzero(label != np.arange(len(codes)))
-    return index.codes[linked], index.codes[label[linked]]
+            self.label = to[self.label]
+        return done
+
+
+def forest(codes: np.ndarray, radii=(MAX_DIFF,), label: np.ndarray | None = None, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of links of at most radii[-1] bits that join all that such links can join, near links first.
+
+    label: codes with equal labels are joined already. second: marks codes that are compared with the unmarked ones only.
+    """
+    groups, out = Groups(np.arange(len(codes)) if label is None else label), []
+    for most in radii:
+        for a, b in near(codes, most, second):
+            apart = groups.apart(a, b)
+            if apart.any():
+                a, b = a[apart], b[apart]
+                x, y = groups.label[a], groups.label[b]
+                first = np.unique(np.minimum(x, y) * (len(codes) + 1) + np.maximum(x, y), return_index=True)[1]
+                done = groups.join(a[first], b[first])
+                out.append(np.stack([a[first][done], b[first][done]]))
+    a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    return a, b
+
+
+# links -------------------------------------------------------------------------------------------------------------------------------
 
 
 def block_choices(n: int, most: int = MAX_DIFF, bits: int = BITS, shard: int = SHARD) -> list[list[int]]:
@@ -153,56 +221,67 @@ def block_choices(n: int, most: int = MAX_DIFF, bits: int = BITS, shard: int = S
     raise ValueError("most must be less than bits")
 
 
-def links(codes: DataFrame, n: int, most: int = MAX_DIFF, shard: int = SHARD, large: int = LARGE) -> DataFrame:
-    """(fp, rep) edges whose components are those of all links among the n distinct values of codes.fp."""
-    choices = block_choices(n, most, shard=shard)
-    depth = max(0, int(np.ceil(np.log2(max(1, n / shard)))))
+def random_choices(n: int, least: float = LEAST, recall: float = RECALL, bucket: int = BUCKET, bits: int = WIDE_BITS) -> list[list[int]]:
+    """Lists of bit positions such that two sets of similarity `least` and equal size agree on all bits of one list with a chance of `recall`.
+
+    Their shares cosine is 2 s / (1 + s), and a bit differs with the angle's share of a half turn. A list is as long as parts n codes into buckets.
+    """
+    agree = 1 - math.acos(2 * least / (1 + least)) / math.pi
+    size = min(bits, max(1, math.ceil(math.log2(max(2, n / bucket)))))
+    tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree**size)))
+    r = np.random.Generator(np.random.PCG64(19))
+    return [sorted(r.choice(bits, size, replace=False).tolist()) for _ in range(tables)]
+
+
+_GROUP = ["part", "choice", "key", "i", "j"]
+
+
+def deal(codes: DataFrame, n: int, choices: list[list[int]], shard: int = SHARD, large: int = LARGE) -> tuple[DataFrame, int]:
+    """The rows of codes (node, joined, size, fp0, fp1, ...) in every group that they are searched in, and the number of parts that the groups are dealt to.
+
+    A group is a shard, or of a shard with more than `large` rows or HEAVY sizes a chunk (i = j) or a pair of chunks, of which `own` is the row's.
+    """
+    words = [c for c in codes.columns if c.startswith("fp")]
+    depth = max(0, math.ceil(math.log2(max(1, n / shard))))
     keys = []
     for positions in choices:
         key = F.lit(0).cast("long")
         for i, p in enumerate(positions[: min(depth, len(positions))]):
-            key = key + F.shiftleft(F.shiftrightunsigned("fp", p).bitwiseAND(F.lit(1).cast("long")), i)
+            key = key + F.shiftleft(F.shiftrightunsigned(words[p // 64], p % 64).bitwiseAND(F.lit(1).cast("long")), i)
         keys.append(key)
-    dealt = codes.select("fp", F.posexplode(F.array(*keys)).alias("choice", "key"))
-    counts = dealt.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large)
-    chunked = dealt.join(counts, ["choice", "key"], "left").withColumn("chunks", F.coalesce(F.ceil(F.col("n") / (large // 2)), F.lit(1)).cast("int"))
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    tiles = F.when(F.col("chunks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: o != own), lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j")))
-    )
-    tiled = chunked.select("choice", "key", "fp", F.explode(tiles).alias("tile")).select("choice", "key", "tile.i", "tile.j", "fp")
+    dealt = codes.select("node", "joined", "size", *words, F.posexplode(F.array(*keys)).alias("choice", "key"))
+    counts = dealt.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all"))
+    counts = counts.where((F.col("n") > large) | (F.col("all") > HEAVY)).select("choice", "key", F.greatest(F.ceil(F.col("n") / (large // 2)), F.ceil(F.col("all") / HEAVY)).cast("int").alias("chunks"))
+    chunked = dealt.join(counts, ["choice", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    tiles = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j")))
+    parts = max(1, math.ceil(n * len(choices) / SHARD))
+    number = F.col("choice") * F.lit(1 << min(depth, 30)) + F.col("key")
+    part = F.pmod(F.when(F.col("chunks") == 1, number).otherwise(F.xxhash64("choice", "key", "tile.i", "tile.j")), F.lit(parts)).cast("int")
+    return chunked.select("*", F.explode(tiles).alias("tile")).select(part.alias("part"), "choice", "key", "tile.i", "tile.j", own.alias("own"), "node", "joined", *words), parts
 
-    def find(frame: pd.DataFrame) -> pd.DataFrame:
-        fp, rep = forest(frame["fp"].to_numpy(np.int64).view(np.uint64), most)
-        return pd.DataFrame({"fp": fp.view(np.int64), "rep": rep.view(np.int64)})
 
-    return tiled.groupBy("choice", "key", "i", "j").applyInPandas(find, "fp long, rep long").distinct()
+def _codes(table: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
+    """The fingerprints of a group's rows, and marks of the second chunk where two meet."""
+    code = np.stack([table.column(c).to_numpy() for c in table.column_names if c.startswith("fp")], axis=1).view(np.uint64)
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    return code, table.column("own").to_numpy() == j if i != j else None
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of `edges` (fp, rep): root is the smallest node of its component, itself included.
+def links(codes: DataFrame, n: int, choices: list[list[int]], radii=(MAX_DIFF,), shard: int = SHARD, large: int = LARGE) -> DataFrame:
+    """(a, b): links between nodes, near enough by radii, whose components are those of all such links in the shards of the choices.
 
-    Alternating large-star and small-star contractions; each round is written to the shared folder, and two checksums tell when
-    nothing changes. A hub's rows meet only as partial minima, and the join that hands out minima can be split by AQE.
+    codes: (node, joined, size, fp0, fp1, ...), n distinct nodes, 64 bits to a word; rows with equal `joined` need no link.
     """
+    tiled, parts = deal(codes, n, choices, shard, large)
+
+    def find(table: pa.Table) -> pa.Table:
+        code, second = _codes(table)
+        node = table.column("node").to_numpy()
+        a, b = forest(code, radii, table.column("joined").to_numpy(), second)
+        return pa.table({"a": node[a], "b": node[b]})
 
-    def stars(rows: DataFrame, large: bool) -> DataFrame:
-        both = rows.unionByName(rows.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else rows
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        linked = both.join(least, "u")
-        if large:
-            return linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-
-    rows = settle(edges.where("fp != rep").select(F.greatest("fp", "rep").alias("u"), F.least("fp", "rep").alias("v")).distinct(), "simhash-edges")
-    before = None
-    while True:
-        last, rows = rows, settle(stars(stars(rows, True).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), False), "simhash-stars")
-        forget(rows.sparkSession, last)
-        now = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        if now == before:
-            return rows.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+    return tiled.repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(find, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, most: int = MAX_DIFF, n: int = WORDS) -> DataFrame:
@@ -214,15 +293,130 @@ def near_duplicates(docs: DataFrame, most: int = MAX_DIFF, n: int = WORDS) -> Da
     """
     found = settle(fingerprints(docs, n), "simhash-fingerprints")
     distinct = settle(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), distinct.count(), most))
+    size = distinct.count()
+    codes = distinct.select(F.col("fp").alias("node"), F.col("fp").alias("joined"), F.lit(0).alias("size"), F.col("fp").alias("fp0"))
+    roots = components(links(codes, size, block_choices(size, most), (most,)))
     joined = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     named = joined.join(names, "root").select("fp", "component_id")
     return found.join(named, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, most: int = MAX_DIFF, n: int = WORDS) -> DataFrame:
-    """The rows of docs without the near-copies: of each group the row with the smallest doc_id, once; rows with a null id stay."""
-    first = near_duplicates(docs, most, n).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    named = docs.where("doc_id is not null").join(first.distinct(), F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+# near copies -------------------------------------------------------------------------------------------------------------------------
+
+_PLACES = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 62, SHINGLE + 1, dtype=np.uint64) * _U(2) + _U(1)
+
+
+def shingles(h: np.ndarray) -> np.ndarray:
+    """The sorted set of shingle hashes of a text's word hashes; a shorter text is one shingle, no words none."""
+    n = len(h) - SHINGLE + 1
+    if n < 1:
+        h, n = np.concatenate([h, np.full(SHINGLE - len(h), len(h), np.uint64)]), min(1, len(h))
+    key = np.zeros(n, np.uint64)
+    for i in range(SHINGLE):
+        key += h[i : i + n] * _PLACES[i]
+    return np.unique(mix(key))
+
+
+def sets(column) -> list[np.ndarray]:
+    """The shingle sets of a column of texts; words are compared without regard to the case of A to Z."""
+    data, offsets = raw_text(column)
+    starts, ends, before = spans(data, offsets, NOT_SPACE)
+    h = hashes(data, starts, ends)
+    return [shingles(h[a:b]) for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True)]
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets; 1 for two empty ones."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return both / (len(a) + len(b) - both)
+
+
+def _sign(batches):
+    for batch in bounded_batches(batches):
+        found = sets(batch.column(1))
+        node = [mix(s * _PLACES[1]).sum(dtype=np.uint64) + _U(len(s)) for s in found]
+        low, high = ([majority(x) for x in some] for some in (found, [mix(s ^ _PLACES[0]) for s in found]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(2), batch.column(3), batch.column(4), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, low, high)), pa.array([len(s) for s in found], pa.int32())],
+            names=["first_id", "d1", "d2", "node", "fp0", "fp1", "size"],
+        )
+
+
+def _compare(batches):
+    for batch in batches:
+        kept = []
+        for at in range(0, batch.num_rows, 64):
+            a, b = (sets(batch.column(c).slice(at, 64)) for c in (2, 3))
+            kept += [at + i for i, (x, y) in enumerate(zip(a, b, strict=True)) if similarity(x, y) >= LEAST]
+        rows = pa.array(kept, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
+
+
+def _outside(table: pa.Table) -> pa.Table:
+    """The rows of a group that have a candidate in another joined group."""
+    code, second = _codes(table)
+    groups, found = Groups(table.column("joined").to_numpy()), np.zeros(len(code), bool)
+    for a, b in near(code, WIDE, second):
+        apart = groups.apart(a, b)
+        found[a[apart]] = found[b[apart]] = True
+    return table.filter(pa.array(found))
+
+
+def _compare_all(table: pa.Table) -> pa.Table:
+    """Links (a, b) that join all rows of a group that candidates which pass can join."""
+    code, second = _codes(table)
+    node, held = table.column("node").to_numpy(), []
+    for chunk in table.column("text").chunks:
+        held += sets(chunk)
+    size = np.array([len(s) for s in held])
+    groups, out = Groups(table.column("joined").to_numpy()), []
+    for a, b in near(code, WIDE, second):
+        some = groups.apart(a, b) & (np.minimum(size[a], size[b]) >= LEAST * np.maximum(size[a], size[b]))
+        a, b = a[some], b[some]
+        done = groups.join(a, b, lambda i, a=a, b=b: similarity(held[a[i]], held[b[i]]) >= LEAST)
+        out.append(np.stack([node[a[done]], node[b[done]]]))
+    a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    return pa.table({"a": a, "b": b})
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of docs without the near copies, all columns: of each group of rows linked by a similarity of LEAST or more one stays.
+
+    It is the row with the smallest id, a null id being the largest; where an id is repeated, the row whose text has the smallest digest, once.
+    Texts without words are copies of each other; null texts count as empty. Texts with equal sets of shingles always meet, and of the other pairs at the
+    very threshold a share of RECALL; a pair that meets is linked. An empty table gives no rows.
+    """
+    plain, text = renamed(docs)
+    number = F.col(plain.columns[docs.columns.index("doc_id")]).cast("long")
+    key = [F.struct(number.isNull().alias("none"), F.coalesce(number, F.lit(0)).alias("id")).alias("first_id"), *digest(whole(text))]
+    rows = plain.select(F.lit(0).alias("pad"), whole(text).alias("text"), *key)
+    kind = "first_id struct<none:boolean,id:long>, d1 long, d2 long"
+    signed = settle(rows.mapInArrow(_sign, f"{kind}, node long, fp0 long, fp1 long, size int"), "copies-signed")
+    first = [F.min(F.struct("first_id", "d1", "d2")).alias("first"), *(F.min(c).alias(c) for c in ("fp0", "fp1", "size"))]  # of equal sets all three are equal
+    nodes = settle(signed.groupBy("node").agg(*first), "copies-nodes")
+    n = nodes.count()
+    choices = random_choices(n)
+
+    def with_texts(wanted: DataFrame) -> DataFrame:
+        named = wanted.select("node").distinct().join(nodes, "node").select("node", "first.*")
+        return settle(rows.select("first_id", "d1", "d2", "text").join(named, ["first_id", "d1", "d2"]).select("node", "text").dropDuplicates(["node"]), "copies-texts")
+
+    candidates = settle(links(nodes.select("node", F.col("node").alias("joined"), "size", "fp0", "fp1"), n, choices[:FIRST], STEPS, shard=BUCKET), "copies-candidates")
+    given = with_texts(candidates.select(F.explode(F.array("a", "b")).alias("node")))
+    both = candidates.join(given.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(given.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    passed = settle(both.select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long"), "copies-links")
+
+    codes = nodes.join(components(passed), "node", "left").select("node", F.coalesce("root", "node").alias("joined"), "size", "fp0", "fp1")
+    tiled, parts = deal(codes, n, choices, BUCKET)
+    searched = tiled.repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_outside, tiled.schema)
+    outside = settle(searched, "copies-outside")
+    compared = outside.join(with_texts(outside), "node").select(*tiled.columns, "text").repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_compare_all, "a long, b long")
+    roots = components(passed.unionByName(compared))
+
+    group = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
+    stays = group.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    named = plain.select("*", *key).join(stays, ["first_id", "d1", "d2"], "left_semi").dropDuplicates(["first_id", "d1", "d2"])
+    return named.select(*plain.columns).toDF(*docs.columns)

@@ -257,19 +257,31 @@ def _near_codes(n, centres, flips, seed):
 
 
 def test_gray_index_finds_all_pairs():
-    codes = np.array(_near_codes(700, 40, 5, 5), np.uint64)
-    index = simhash.GrayIndex(codes)
-    assert (np.diff(simhash.gray_rank(index.codes).astype(object)) > 0).all()
-    got = {(q, p) for qs, ps in index.search(index.codes, 4) for q, p in zip(qs.tolist(), ps.tolist(), strict=True)}
-    near = np.bitwise_count(index.codes[:, None] ^ index.codes[None, :]) <= 4
-    assert got == set(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
+    codes = np.array(_near_codes(700, 40, 5, 5), np.uint64)[:, None]
+    for c, most in ((codes, 4), (np.concatenate([codes, codes[::-1] >> np.uint64(3)], axis=1), 9)):
+        index = simhash.GrayIndex(c)
+        got = {(q, p) for qs, ps in index.search(index.codes, most) for q, p in zip(qs.tolist(), ps.tolist(), strict=True)}
+        near = np.bitwise_count(index.codes[:, None] ^ index.codes[None, :]).sum(axis=2) <= most
+        want = set(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
+        assert got == want
+        late = {(q, p) for qs, ps in index.search(index.codes, most, 300) for q, p in zip(qs.tolist(), ps.tolist(), strict=True)}
+        assert {x for x in want if x[1] >= 300} <= late <= want
+
+
+def test_gray_order_changes_one_bit_at_a_time():
+    every = np.arange(256, dtype=np.uint64)
+    two = np.stack([every >> np.uint64(4), (every & np.uint64(15)) << np.uint64(60)], axis=1)  # the words' ends that meet
+    two = two[simhash.gray_order(two)]
+    assert (np.bitwise_count(two[1:] ^ two[:-1]).sum(axis=1) == 1).all()
+    assert (np.diff(simhash.gray_rank(np.sort(simhash.gray_rank(every)))[:0]) >= 0).all() and (simhash.gray_rank(every ^ (every >> np.uint64(1))) == every).all()
 
 
 @pytest.mark.parametrize("shard,large", [(8192, 8192), (64, 8192), (64, 60)])
 def test_links_of_split_shards_are_whole(spark, shard, large):
     codes = _near_codes(500, 25, 4, 9)
-    frame = spark.createDataFrame([(_signed(c),) for c in codes], "fp long")
-    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(frame, len(codes), shard=shard, large=large)).collect()}
+    frame = spark.createDataFrame([(_signed(c), _signed(c), 0, _signed(c)) for c in codes], "node long, joined long, size int, fp0 long")
+    found = simhash.links(frame, len(codes), simhash.block_choices(len(codes), shard=shard), shard=shard, large=large)
+    roots = {r["node"]: r["root"] for r in simhash.components(found).collect()}
     mine = collections.defaultdict(set)
     for c in codes:
         mine[roots.get(_signed(c), _signed(c))].add(c)
@@ -287,10 +299,12 @@ def test_block_choices_cover_every_difference():
 
 
 def test_one_document_of_each_group_stays(spark, odd):
-    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one(odd).collect()]
-    ids = [i for i, _ in kept]
-    assert ids.count(4) == 1 and None in ids and [i for i in ids if i in (1, 2, 3)] == [1]
-    assert simhash.keep_one(odd).columns == odd.columns
+    again = odd.unionByName(odd.where("doc_id is null or doc_id = 5").withColumn("doc_id", F.lit(None).cast("long")))
+    for d in (odd, again):  # copies without an id go, whether another has one or not
+        kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one(d).collect()]
+        ids = [i for i, _ in kept]
+        assert ids.count(4) == 1 and ids.count(None) == 1 and ids.count(5) == 1 and [i for i in ids if i in (1, 2, 3)] == [1]
+    assert simhash.keep_one(odd).columns == odd.columns and simhash.keep_one(odd.limit(0)).count() == 0
 
 
 # op5
@@ -446,20 +460,49 @@ def test_overlaps_with_substitutions(spark):
     assert {i: got[i]["contaminated"] for i in want} == want and not got[99]["contaminated"]
     assert all(got[i]["item_ids"] == [i % 5] for i, hit in want.items() if hit)
     assert sorted(r["doc_id"] for r in decontam.keep_clean(d, bench).collect()) == sorted([i for i, hit in want.items() if not hit] + [99])
-    size, decontam.BLOCK_WORDS = decontam.BLOCK_WORDS, 40
-    try:
-        again = {x["doc_id"]: x for x in decontam.find(d, bench).collect()}
-    finally:
-        decontam.BLOCK_WORDS = size
+    with pytest.MonkeyPatch.context() as m:  # a salted join in place of a broadcast, and a filter that lets most positions through
+        m.setattr(decontam, "BROADCAST", 0)
+        m.setattr(decontam, "SMALLEST", 64)
+        m.setattr(decontam, "SPREAD", 1)
+        again = {x["doc_id"]: x for x in decontam.find(d.repartition(5), bench.repartition(3)).collect()}
     assert again == got
 
 
-def test_passages_do_not_reach_across_documents():
-    item = vector.hash_words(prose(24, 5).split())
-    block = decontam.Block([(7, item)])
-    h = np.concatenate([vector.hash_words(["q"] * 4), item])
-    assert list(block.overlaps(h, np.array([0, 16, 28]))) == []
-    assert list(block.overlaps(h, np.array([0, 4, 28]))) == [(1, 7, 1.0)]
+def _aligned(text, item):
+    """The largest share of agreeing words of any window at any alignment, by trying all."""
+    w, v = text.split(), item.split()
+    n, best = min(len(v), decontam.WINDOW), 0.0
+    for start in range(1 - len(v), len(w)):
+        same = [int(w[start + i] == v[i]) for i in range(max(0, -start), min(len(v), len(w) - start))]
+        best = max([best, *(sum(same[i : i + n]) / n for i in range(max(1, len(same) - n + 1)))])
+    return best
+
+
+def test_overlaps_by_trying_every_alignment(spark):
+    r, few = random.Random(12), WORDS[:40]
+    items = [(i, " ".join(r.choice(few) for _ in range(r.choice([2, 4, 5, 6, 7, 9, 15, 24, 40])))) for i in range(60)]
+    rows = []
+    for i in range(250):
+        w = [r.choice(few) for _ in range(r.randint(0, 60))]
+        for _ in range(r.randint(0, 2)):
+            part = r.choice(items)[1].split()
+            part = [r.choice(few) if r.random() < r.choice([0.0, 0.1, 0.3]) else x for x in part]
+            at = r.randint(0, len(w))
+            w[at:at] = part[: r.randint(1, len(part))] if r.random() < 0.3 else part
+        rows.append((i, " ".join(w)))
+    got = {x["doc_id"]: x for x in decontam.find(spark.createDataFrame(rows, DOC), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for i, text in rows:
+        shares = {k: _aligned(text, item) for k, item in items}
+        found = sorted(k for k, s in shares.items() if s >= decontam.RATIO)
+        assert got[i]["item_ids"] == found and got[i]["overlap"] == pytest.approx(max((shares[k] for k in found), default=0.0))
+
+
+def test_passages_do_not_reach_across_documents(spark):
+    item = prose(24, 5)
+    half = item.split()
+    rows = [(1, " ".join(half[:12])), (2, " ".join(half[12:])), (3, "q q " + item)]
+    got = {r["doc_id"]: r["overlap"] for r in decontam.find(spark.createDataFrame(rows, DOC).coalesce(1), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
+    assert got == {1: 0.0, 2: 0.0, 3: 1.0}
 
 
 # op8
