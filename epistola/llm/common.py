@@ -64,29 +64,53 @@ def raw_text(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def partitions(spark: SparkSession) -> int:
-    """Parts to deal rows into: the session's shuffle partitions, which the caller sizes to the input."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def crc_mod(id_col, m: int):
     """crc32 of the id written as text, modulo m: the fold of a document."""
     return F.crc32(id_col.cast("string").cast("binary")) % m
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held_out: int, limit: int) -> DataFrame:
-    """(doc_id, text, label) of at most `limit` labelled documents outside the held-out fold.
+def parts_of(df: DataFrame, size: int = 16 << 20, most: int = 1 << 14) -> int:
+    """Parts of about `size` bytes to deal rows into, by Spark's estimate of the input's size, for which nothing runs; at least one a core, `most` at most."""
+    spark = df.sparkSession
+    size_in_bytes = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-size_in_bytes // size)))
+
+
+def within(sizes: list[int], budget: int) -> list[int]:
+    """The places, in order, of the sizes that add up to at most `budget`; one over an eighth of it is passed over."""
+    kept, used = [], 0
+    for i, size in enumerate(sizes):
+        if size <= budget // 8 and used + size <= budget:
+            kept.append(i)
+            used += size
+    return kept
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held_out: int, limit: int, budget: int) -> DataFrame:
+    """(doc_id, text, label) of at most `limit` labelled documents outside the held-out fold, of at most `budget` bytes of text (see `within`).
 
-    The sample is the `limit` smallest ids by hash, so it doesn't depend on partitioning; as at most `limit` label rows
-    remain, the label side is small enough to broadcast. Repeated or contradictory label rows count once, by their largest label.
+    The sample goes by the smallest hashes of the ids, so it doesn't depend on partitioning. Repeated or contradictory label rows count once, by their
+    largest label; of a repeated id's texts the one with the smallest hash is taken, once. Only ids below a hash that gives four times as many as
+    asked for are grouped, all if that isn't enough.
     """
-    picked = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("label"))
-        .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), folds) != held_out))
-        .groupBy("doc_id").agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    )
-    return texts(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label")
+    rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("label"))
+    rows = rows.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), folds) != held_out))
+    order, share = F.xxhash64("doc_id"), min(1.0, 4 * limit / max(1, rows.count()))
+    while True:
+        low = rows if share >= 1 else rows.where(order < F.lit(int(-(2**63) + share * 2**64)))
+        picked = low.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(order, "doc_id").limit(limit)
+        ids = picked.collect()  # at most `limit` pairs of numbers
+        if len(ids) == limit or share >= 1:
+            break
+        share = min(1.0, 16 * share)
+    spark, plain = docs.sparkSession, texts(docs)
+    asked = F.broadcast(spark.createDataFrame([tuple(r) for r in ids], "doc_id long, label int"))  # at most `limit` rows
+    sized = plain.join(asked, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"))).alias("t"))
+    place = {r["doc_id"]: i for i, r in enumerate(ids)}
+    found = sorted(sized.collect(), key=lambda r: place[r["doc_id"]])  # a row of numbers for each
+    kept = [(found[i]["doc_id"], found[i]["label"], found[i]["t"]["h"]) for i in within([r["t"]["size"] for r in found], budget)]
+    chosen = F.broadcast(spark.createDataFrame(kept, "doc_id long, label int, h long"))  # at most `limit` rows
+    return plain.withColumn("h", F.xxhash64("text")).join(chosen, ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
 
 
 def filter_rows(docs: DataFrame, passes, text_col: str = "text") -> DataFrame:

@@ -1,10 +1,11 @@
 """Quality: a linear-chain conditional random field labels each line of a text good or bad.
 
 A line's features are rates of its characters and words, repeats within the line and of the line within the text, and the same rates of the
-lines before and after it, each cut into bins. Forward-backward gives every line's marginal in the whole text; the marginals of good
-weighted by line length add up to the document's share of good text, and a logistic curve fitted on the sample turns that share into the
-probability of label 1, as a document may be labelled bad for a part of its lines. Trained on the driver on a bounded sample; scoring
-reads each document once.
+lines before and after it, each cut into bins. Only documents are labelled, and a bad one may be bad for a part of its lines, so the lines' labels are
+hidden: all lines of a good document are good, and those of a bad one start as bad and are then labelled by the field itself, at least one staying
+bad, and the field is fitted again. It is fitted on stretches of lines dealt into mixed sequences, so that it learns switches. Forward-backward gives every
+line's marginal in the whole text; the marginals of good weighted by line length add up to the document's share of good text, and a logistic curve
+fitted on the sample turns that share into the probability of label 1. Trained on the driver on a bounded sample; scoring reads each document once.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from . import crf
 from .common import bounded_batches, labelled_sample, raw_text, texts
 from .vector import LETTERS, NOT_SPACE, hash_words, hashes, member, spans, sums
 
-#: Labelled documents to learn from, at most, and the fold that is never learned from.
-SAMPLE, FOLDS, HELD_OUT = 3000, 3, 1
-BINS, ROUNDS, STEP, RIDGE = 13, 60, 0.3, 1e-5
+#: Labelled documents to learn from and bytes of their text, at most (`common.within`); folds, and the one that is never learned from.
+SAMPLE, SAMPLE_BYTES, FOLDS, HELD_OUT = 3000, 8 << 20, 3, 1
+BINS, ROUNDS, STEP, RIDGE = 13, 40, 0.3, 1e-5
+#: Times that the hidden labels are worked out; lines of a stretch, at most, and stretches of a mixed sequence.
+TURNS, STRETCH, MIXED = 3, 2, 6
 #: Frequent function words of a few languages. Fixed values.
 COMMON = """the of and to in a is that for it as was with be by on not he this are or his from at which but have an had they you were their
 der die und das den von zu mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei
@@ -109,20 +112,41 @@ class Model:
         if not len(x) or not 0 < y.sum() < len(y):
             return self
         self.cuts = [bin_edges(c) for c in x.T]
-        at = self.buckets(x, before)
-        state = np.repeat(y.astype(np.int64), np.diff(before))
+        size = np.diff(before)
+        owner = np.repeat(np.arange(len(size)), size)
+        good = y[owner] > 0
+        state = good.astype(np.int64)
+        # stretches of at most STRETCH lines of a text, dealt into sequences of MIXED
+        place = np.arange(len(x)) - before[owner]
+        heads = np.flatnonzero(place % STRETCH == 0)
+        runs = np.split(np.arange(len(x)), heads[1:])
+        deal = np.random.Generator(np.random.PCG64(13)).permutation(len(runs))
+        line = np.concatenate([runs[i] for i in deal])
+        edges = np.concatenate([[0], np.cumsum([len(runs[i]) for i in deal])])
+        edges = edges[np.unique(np.append(np.arange(0, len(edges), MIXED), len(edges) - 1))]
+        at = self.buckets(x[line], edges)
         rows = 3 * x.shape[1] * (BINS + 2)
         emit = lambda w: w[at].sum(axis=1)
         grad = lambda r: np.stack([np.bincount(at.ravel(), np.repeat(r[:, j], at.shape[1]), rows) for j in range(2)], axis=1)
-        self.weights, self.trans, self.start = crf.fit(emit, grad, np.zeros((rows, 2)), state, before, np.ones(len(state)), 2, ROUNDS, STEP, RIDGE)
+        for turn in range(TURNS + 1):
+            self.weights, self.trans, self.start = crf.fit(emit, grad, np.zeros((rows, 2)), state[line], edges, np.ones(len(line)), 2, ROUNDS, STEP, RIDGE)
+            if turn < TURNS:
+                marginal = self.marginals(before, x)
+                worst = np.full(len(size), 2.0)
+                np.minimum.at(worst, owner, marginal)
+                state = (good | ((marginal > 0.5) & (marginal > worst[owner]))).astype(np.int64)
         share = self.share(starts, ends, before, x)
-        filled = np.diff(before) > 0
+        filled = size > 0
         self.curve = logistic(_logit(share[filled]), y[filled])
         return self
 
+    def marginals(self, before: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The probability of each line to be good, in its whole text."""
+        return crf.forward_backward(self.weights[self.buckets(x, before)].sum(axis=1), before, self.trans, self.start)[:, 1]
+
     def share(self, starts, ends, before, x) -> np.ndarray:
         """The share of each text, by length, that the marginals give to good lines."""
-        good = crf.forward_backward(self.weights[self.buckets(x, before)].sum(axis=1), before, self.trans, self.start)[:, 1]
+        good = self.marginals(before, x)
         size = (ends - starts).astype(np.float64)
         return np.clip(sums(good * size, before) / np.maximum(sums(size, before), 1e-300), 0, 1)
 
@@ -156,9 +180,9 @@ def logistic(z: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, flo
     return (float(slope), float(shift)) if slope > 0 and np.isfinite(slope + shift) else (1.0, 0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
-    """Learns labels.quality from at most `sample` labelled documents outside the held-out fold (crc32 of the id as text)."""
-    rows = labelled_sample(docs, labels, "quality", folds, held_out, sample).toArrow()
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
+    """Learns labels.quality from a bounded sample of labelled documents outside the held-out fold (crc32 of the id as text)."""
+    rows = labelled_sample(docs, labels, "quality", folds, held_out, sample, sample_bytes).toArrow()  # at most `sample_bytes` of text
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     raw = [rows.column("text")[int(i)].as_py().encode("utf-8", "surrogatepass") for i in order]
     y = (rows.column("label").to_numpy()[order] > 0).astype(np.float64)
@@ -168,7 +192,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = F
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, n_lines) of every row of docs; a null, empty or blank text has the sample's share of label 1 as its score."""
+    """(doc_id, score, n_lines) of every row of docs.
+
+    A null, empty or blank text has the sample's share of label 1 as its score (0.5 without labels), and so has every text if the sample lacks a
+    label; repeated rows stay repeated, other columns are ignored, an empty table gives no rows. A line may be as long as its text.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred weights
 
     def run(batches):

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, filter_rows, labelled_sample, raw_text, settle, texts
 from .vector import LETTERS, LOWER, NOT_SPACE, HashSet, hash_words, hashes, member, spans, sums
 
-#: Labelled documents that the trees are fitted on, at most, and the fold that is never learned from.
-SAMPLE, FOLDS, HELD_OUT = 12000, 5, 0
+#: Labelled documents that the trees are fitted on and bytes of their text, at most (`common.within`); folds, and the one that is never learned from.
+SAMPLE, SAMPLE_BYTES, FOLDS, HELD_OUT = 12000, 1 << 28, 5, 0
 TREES, DEPTH, RATE, BINS = 60, 3, 0.2, 32
 #: Bytes of the stems learned beside whole words; entries of the learned lexicon, at most; toxic documents that must have an entry (a
 #: number and a share of them), and its log odds, at least.
@@ -248,9 +248,10 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> HashSet:
     return HashSet(best.column("key").to_numpy().view(np.uint64), best.column("odds").to_numpy().astype(np.float64))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
-    """Learns labels.toxic from at most `sample` labelled documents outside the held-out fold (crc32 of the id as text)."""
-    chosen = settle(labelled_sample(docs, labels, "toxic", folds, held_out, sample), "toxicity-sample")
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
+    """Learns labels.toxic from a bounded sample of labelled documents outside the held-out fold (crc32 of the id as text). Without both labels the
+    model gives every text the share of label 1, 0 without any. The driver receives a row of features for each document of the sample, no texts."""
+    chosen = settle(labelled_sample(docs, labels, "toxic", folds, held_out, sample, sample_bytes), "toxicity-sample")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(5))
     lexicon = learn_lexicon(chosen.where(part < 2))
 
@@ -268,7 +269,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = F
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row of docs; null texts count as empty, and empty ones are scored by their features, all 0."""
+    """(doc_id, score) of every row of docs; null texts count as empty, and empty ones are scored by their features, all 0. Repeated rows stay
+    repeated, other columns are ignored, an empty table gives no rows; a text of any length is measured whole."""
 
     def run(batches):
         for batch in bounded_batches(batches):
