@@ -11,16 +11,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import bounded_batches, crc_mod, filter_rows, raw_text, texts
+from .common import bounded_batches, crc_mod, filter_rows, raw_text, texts, whole, within
 from .vector import BLOCK, LETTERS, LOWER, hashes, spans, sums
 
 FOLDS, HELD_OUT = 5, 0
-#: Documents to learn from, at most, and bytes of their text, at most (whole documents, in hash order, until the bytes are used up).
-SAMPLE, SAMPLE_BYTES = 1500, 1 << 21
+#: Documents of a language to learn from, at most, and bytes of their text, at most (`common.within`); the sample grows with the languages only.
+SAMPLE, SAMPLE_BYTES = 750, 1 << 19
 #: Words of a stretch in training, stretches of a mixed sequence; rows of the weight table.
 STRETCH, MIXED, TABLE = 24, 4, 1 << 16
 ROUNDS, STEP, RIDGE = 25, 0.4, 1e-7
@@ -102,24 +102,37 @@ class Model:
         return [self.langs[b] if k else "und" for b, k in zip(best.tolist(), known, strict=True)], np.where(known, score, 0.0), sums(turn, before).astype(np.int64)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
-    """Learns from text and non-null lang of at most `sample` documents outside the held-out fold."""
+def labelled_texts(docs: DataFrame, sample: int, sample_bytes: int, folds: int, held_out: int) -> list[tuple[str, bytes]]:
+    """(language, text) of each language's sample: rows outside the held-out fold with a language, each with its own text, by the smallest hashes of both
+    id and text, equal texts of a language once. Each task gives out its smallest only, and the driver receives numbers first and then the texts chosen.
+    Where all texts of a language are too long for its bytes, its shortest is cut to them."""
     fold = crc_mod(F.col("doc_id").cast("long"), folds) != held_out
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & fold)
-    picked = rows.groupBy("doc_id").agg(F.min("lang").alias("lang")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most `sample` rows to broadcast
-    size = F.octet_length("text")
-    chosen = texts(docs).join(F.broadcast(picked), "doc_id").where(size <= sample_bytes // 8)
-    got = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toArrow()
-    langs = sorted(set(got.column("lang").to_pylist()))
+    rows = docs.where(F.col("lang").isNotNull() & fold).select(F.col("lang").cast("string").alias("lang"), F.xxhash64(F.col("doc_id").cast("long"), whole("text")).alias("h"), whole("text").alias("text"))
+    ranked = rows.select("lang", "h", F.xxhash64("text").alias("d"), F.octet_length("text").alias("size"), F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("n"))
+    kept: dict[str, dict[int, tuple[int, int]]] = {}
+    for r in ranked.where(F.col("n") <= sample).orderBy("lang", "h").collect():  # at most `sample` rows of numbers for a language
+        kept.setdefault(r["lang"], {}).setdefault(r["d"], (r["h"], r["size"]))
+    chosen = []
+    for lang, found in kept.items():
+        some = list(found.values())
+        fits = [some[i] for i in within([size for _, size in some], sample_bytes)]
+        chosen += [(lang, h) for h, _ in fits or [min(some, key=lambda x: x[1])]]
+    if len(kept) < 2:
+        return [(lang, b"") for lang in kept]
+    asked = F.broadcast(docs.sparkSession.createDataFrame(chosen, "lang string, h long"))  # at most `sample` rows for a language
+    got = rows.join(asked, ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "h", F.encode(F.col("text"), "utf-8").alias("raw"))
+    return [(lang, raw[:sample_bytes]) for lang, _, raw in sorted((r["lang"], r["h"], bytes(r["raw"])) for r in got.toLocalIterator())]
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
+    """Learns from text and non-null lang of a bounded sample of each language outside the held-out fold, however rare the language is."""
+    got = labelled_texts(docs, sample, sample_bytes, folds, held_out)
+    langs = sorted({lang for lang, _ in got})
     if len(langs) < 2:
         return Model(langs)
     order = {c: i for i, c in enumerate(langs)}
-    used, stretches, labels = 0, [], []
-    for text, lang in zip(got.column("text").to_pylist(), got.column("lang").to_pylist(), strict=True):
-        raw = text.encode("utf-8", "surrogatepass")
-        used += len(raw)
-        if used > sample_bytes and len(set(labels)) == len(langs):
-            break
+    stretches, labels = [], []
+    for lang, raw in got:
         w = raw.split()
         for at in range(0, len(w), STRETCH):
             stretches.append(b" ".join(w[at : at + STRETCH]))
@@ -144,7 +157,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, n_switches) of every row of docs.
 
     score is the share of the text, by length of words, that the marginals give to lang_pred; `und` with score 0 if the text is null or
-    has no letter, or if no language was learned. Equal shares go to the language first in order. Other columns are ignored.
+    has no letter, or if no language was learned. Equal shares go to the language first in order. A text of any length is read whole; repeated rows stay
+    repeated, other columns are ignored, an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: TABLE rows by the number of languages
 
