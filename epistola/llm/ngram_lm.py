@@ -2,9 +2,8 @@
 
 Counting. Training texts are tokenised and hashed in whole batches; each task counts its own n-grams first, and packs them, sorted and
 delta-coded, into one blob for each shard, so a frequent word or pair crosses the network once a task. Shards are ranges of the n-grams' sorted
-keys; a word with more than its share of the tokens has shards of its own, parted by successor. Words get ids in order of their hashes; bigrams and
-trigrams that occur once in all training texts are pruned from the trie (their mass goes to the back-off), and a trigram is only
-counted where both its bigrams stay.
+keys; a word with more than its share of the tokens has shards of its own, parted by successor. Words get ids in order of their hashes. All n-grams
+are kept; a caller may prune those below a count (`least`), whose mass then goes to the back-off, and a trigram is only counted where both its bigrams stay.
 
 Trie. Each shard's level is one file in the shared folder, memory-mapped by every worker: a monotone sequence of (context, successor) keys in
 Elias-Fano form (low bits packed at their exact width; for the high bits a monotone pointer for every run of about 16 keys
@@ -15,11 +14,12 @@ bigrams and from them the trigram without looking at words again.
 
 Model. Interpolated absolute discounting: p(w|uv) = a(uvw) + b(uv) (a(vw) + b(v) p(w)); p(w) = (c - D) / N, and what the discounts take is the
 probability of the one unknown token. Codes are rounded down, so that probabilities of a context sum to one at most.
-Scoring reads each document once, shuffles nothing, and needs the mapped files only.
+Scoring reads each document once, shuffles nothing, and needs the files of the shards that its texts touch only.
 """
 
 from __future__ import annotations
 
+import collections
 import json
 import mmap
 
@@ -30,14 +30,16 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_mod, raw_text, texts, work_dir
+from .common import bounded_batches, crc_mod, parts_of, raw_text, texts, work_dir
 from .vector import NOT_SPACE, hash_words, hashes, spans
 
 FOLDS, HELD_OUT = 10, 0
-#: Smoothing of the base score; discount of bigrams and trigrams; least count of a bigram or trigram in the trie.
-ALPHA, DISCOUNT, LEAST = 0.1, 0.75, 2
+#: Smoothing of the base score; discount of bigrams and trigrams; least count of a bigram or trigram in the trie, 1 for all.
+ALPHA, DISCOUNT, LEAST = 0.1, 0.75, 1
 #: Steps of a decade in quantised logarithms; keys in a run of the high bits; bytes of a chunk of text; n-grams that a task holds before it packs them.
 STEPS, RUN, CHUNK, HELD = 5000, 16, 4 << 20, 3 << 20
+#: Bytes of files that a worker holds where they can't be mapped; the one used longest ago goes first.
+CACHE = 256 << 20
 #: The hash of the end token, which can't be a word as it holds a space.
 END = hash_words([" end"])[0]
 _U = np.uint64
@@ -68,25 +70,42 @@ def save(path: str, arrays: dict[str, np.ndarray]) -> None:
     store.move(part, place)
 
 
-def load(path: str) -> dict[str, np.ndarray]:
-    """Maps a file: straight from a shared file system, else from an unnamed map filled from the store."""
+def load(path: str) -> tuple[dict[str, np.ndarray], int]:
+    """A file's arrays, and the bytes of memory that they take: none if it is mapped straight from a shared file system, else all of it."""
     store, place = _open_store(path)
     if isinstance(store, fs.LocalFileSystem):
         with open(place, "rb") as f:
-            raw = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8)  # keeps no file open, however many shards there are
+            raw, held = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8), 0  # keeps no file open, however many shards there are
     else:
         with store.open_input_stream(place) as f:
-            whole = f.read()
-        held = mmap.mmap(-1, len(whole))
-        held.write(whole)
-        raw = np.frombuffer(held, np.uint8)
+            raw = np.frombuffer(f.read(), np.uint8)
+        held = len(raw)
     n = int(raw[:8].view("<u8")[0])
     head = json.loads(raw[8 : 8 + n].tobytes())
-    return {k: raw[8 + n + at : 8 + n + at + np.dtype(kind).itemsize * size].view(kind) for k, (kind, size, at) in head.items()}
+    return {k: raw[8 + n + at : 8 + n + at + np.dtype(kind).itemsize * size].view(kind) for k, (kind, size, at) in head.items()}, held
 
 
-#: Maps of the last model that this process used, by its path; a worker process serves many tasks.
-_MAPS: dict[str, dict] = {}
+class Cache:
+    """Files of the last model that this process used; a worker process serves many tasks. Files in memory are held up to CACHE bytes."""
+
+    def __init__(self):
+        self.path, self.held, self.used = "", collections.OrderedDict(), 0
+
+    def get(self, path: str, name: str):
+        if path != self.path:
+            self.path, self.used = path, 0
+            self.held.clear()
+        if name not in self.held:
+            arrays, size = load(f"{path}/{name}")
+            self.used += size
+            while self.used > CACHE and self.held:
+                self.used -= self.held.popitem(last=False)[1][2]
+            self.held[name] = EliasFano(arrays, "seq"), arrays, size
+        self.held.move_to_end(name)
+        return self.held[name]
+
+
+_FILES = Cache()
 
 
 # Elias-Fano --------------------------------------------------------------------------------------------------------------------------
@@ -202,9 +221,7 @@ class Gatherer:
         if self.parts:
             keys, counts = merge_counts(self.parts)
             self.parts, self.held = [], 0
-            shard = self.shard_of(keys)
-            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
-            rows = [(int(shard[a]), pack_counts(keys[a:b], counts[a:b])) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            rows = [(s, pack_counts(keys[a:b], counts[a:b])) for s, a, b in runs(self.shard_of(keys))]
             for at in range(0, len(rows), 64):
                 some = rows[at : at + 64]
                 yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in some], pa.int64()), pa.array([b for _, b in some], pa.binary())], names=["shard", "blob"])
@@ -231,6 +248,12 @@ def tokens(column) -> tuple[np.ndarray, np.ndarray]:
     return out, edges
 
 
+def runs(sorted_values: np.ndarray):
+    """(value, start, end) of each run of equal values: the shards that a batch touches, whatever their number."""
+    edges = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1], [True]])) if len(sorted_values) else np.zeros(1, np.int64)
+    return zip(sorted_values[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)
+
+
 class Model:
     """The trie's files below `path`. Small facts travel with the object: shard sizes, frequent words, sums of the counts."""
 
@@ -243,19 +266,12 @@ class Model:
         self.bigram_bases = np.zeros(1, np.int64)
         self.hot_backoff = np.zeros(0)
         self.bigram_level = "counted"  # the bigrams' files while trigrams are counted, then "bigrams"
-        self.levels: set[tuple[str, int]] = set()
+        self.files: dict[str, np.ndarray] = {}  # by level: whether a shard has a file
 
     def mapped(self, level: str, shard: int):
         """A level's shard: its sequence and its other arrays; None if it has no file."""
-        if (level, shard) not in self.levels:
-            return None
-        if self.path not in _MAPS:
-            _MAPS.clear()
-        maps = _MAPS.setdefault(self.path, {})
-        if (level, shard) not in maps:
-            arrays = load(f"{self.path}/{level}-{shard}")
-            maps[level, shard] = EliasFano(arrays, "seq"), arrays
-        return maps[level, shard]
+        there = self.files.get(level)
+        return _FILES.get(self.path, f"{level}-{shard}") if there is not None and there[shard] else None
 
     # level 1: words
 
@@ -266,10 +282,8 @@ class Model:
         """Ids (-1: unknown) and training counts of word hashes."""
         values, inverse = np.unique(h, return_inverse=True)
         ids, counts = np.full(len(values), -1, np.int64), np.zeros(len(values), np.int64)
-        edges = np.searchsorted(self.word_shard(values), np.arange((1 << self.bits) + 1))
-        for s in range(1 << self.bits):
-            a, b = edges[s], edges[s + 1]
-            if a < b and (m := self.mapped("words", s)):
+        for s, a, b in runs(self.word_shard(values)):
+            if m := self.mapped("words", s):
                 at = m[0].find(values[a:b] & _U((1 << (64 - self.bits)) - 1))
                 known = at >= 0
                 ids[a:b] = np.where(known, at + self.bases[s], -1)
@@ -308,10 +322,7 @@ class Model:
         place = np.full(len(keys), -1, np.int64)
         got = [np.zeros(len(keys), np.uint16) for _ in columns]
         order = np.argsort(shard, kind="stable")
-        sorted_shards = shard[order]
-        edges = np.flatnonzero(np.concatenate([[True], sorted_shards[1:] != sorted_shards[:-1], [True]])) if len(order) else np.zeros(1, np.int64)
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            s = int(sorted_shards[a])
+        for s, a, b in runs(shard[order]):
             if m := self.mapped(level, s):
                 which = order[a:b]
                 at = m[0].find(keys[which] - m[1]["from"][0])
@@ -345,11 +356,9 @@ class Model:
             if is_hot.any():
                 first[known[is_hot]] = self.bigram_bases[s[is_hot]]
                 back[known[is_hot]] = self.hot_backoff[np.searchsorted(self.hot, values[known[is_hot]])]
-            edges = np.searchsorted(s[~is_hot], np.arange(self.shards() + 1))
             plain = known[~is_hot]
-            for shard in range(self.shards()):
-                a, b = edges[shard], edges[shard + 1]
-                if a < b and (m := self.mapped(self.bigram_level, shard)):
+            for shard, a, b in runs(s[~is_hot]):
+                if m := self.mapped(self.bigram_level, shard):
                     which = plain[a:b]
                     at = values[which] - int(m[1]["from"][0] >> _U(32))
                     ok = (at >= 0) & (at < len(m[1]["first"]) - 1)
@@ -439,23 +448,31 @@ def train(docs: DataFrame, path: str, parts: int, least: int = LEAST) -> Model:
         keys, counts = merged_shard(frame)
         top = 1 << (64 - model.bits)
         save(f"{path}/words-{shard}", ef_pack(keys & _U(top - 1), top, "seq") | {"count": counts})
-        return pd.DataFrame({"shard": [shard], "n": [len(keys)], "total": [int(counts.sum())], "ones": [int((counts == 1).sum())], "twos": [int((counts == 2).sum())], "most": [counts[np.argsort(-counts)[:64]].tolist()], "which": [np.argsort(-counts)[:64].tolist()]})
+        return pd.DataFrame({"shard": [shard], "n": [len(keys)], "total": [int(counts.sum())], "ones": [int((counts == 1).sum())], "twos": [int((counts == 2).sum())]})
 
-    told = shards(lambda c: tokens(c)[0], model.word_shard).applyInPandas(write_words, "shard long, n long, total long, ones long, twos long, most array<long>, which array<long>").collect()  # a row for each shard
+    spark = docs.sparkSession
+    told = shards(lambda c: tokens(c)[0], model.word_shard).applyInPandas(write_words, "shard long, n long, total long, ones long, twos long").toPandas()  # five numbers for each shard
     sizes = np.zeros(1 << model.bits, np.int64)
-    for r in told:
-        sizes[r["shard"]] = r["n"]
-        model.levels.add(("words", r["shard"]))
+    sizes[told["shard"]] = told["n"]
+    model.files["words"] = sizes > 0
     model.bases = np.concatenate([[0], np.cumsum(sizes)])
-    model.words, model.total, model.ones, model.twos = (sum(r[k] for r in told) for k in ("n", "total", "ones", "twos"))
+    model.words, model.total, model.ones, model.twos = (int(told[k].sum()) for k in ("n", "total", "ones", "twos"))
     if not model.words:
         return model
     if model.words >= 1 << 32:
         raise OverflowError("word ids have 32 bits")
-    share = 2 * max(1, model.total // model.shards())  # more tokens than this make a word frequent; fewer words than shards are
-    hot = sorted((int(model.bases[r["shard"]]) + w, c) for r in told for c, w in zip(r["most"], r["which"], strict=True) if c > share)
-    model.hot = np.array([w for w, _ in hot], np.int64)
-    model.hot_parts = np.array([-(-c // share) for _, c in hot], np.int64)
+    share = 2 * max(1, model.total // model.shards())  # more tokens than this make a word frequent; fewer words than half the shards are
+
+    def frequent(frames):
+        for frame in frames:
+            for shard in frame["id"]:
+                if m := model.mapped("words", shard):
+                    at = np.flatnonzero(m[1]["count"] > share)
+                    yield pd.DataFrame({"word": at + model.bases[shard], "n": m[1]["count"][at].astype(np.int64)})
+
+    hot = spark.range(model.shards()).mapInPandas(frequent, "word long, n long").toPandas().sort_values("word")
+    model.hot = hot["word"].to_numpy(np.int64)
+    model.hot_parts = -(-hot["n"].to_numpy(np.int64) // share)
 
     def chain(column, known):
         """Ids of all texts' tokens with the end token before each text, and whether a token and its successor are in one text."""
@@ -478,10 +495,8 @@ def train(docs: DataFrame, path: str, parts: int, least: int = LEAST) -> Model:
 
     def word_counts(ids: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids), np.int64)
-        edges = np.searchsorted(ids, model.bases)
-        for s in range(1 << model.bits):
-            if edges[s] < edges[s + 1]:
-                out[edges[s] : edges[s + 1]] = model.mapped("words", s)[1]["count"][ids[edges[s] : edges[s + 1]] - model.bases[s]]
+        for s, a, b in runs(np.searchsorted(model.bases, ids, "right") - 1):
+            out[a:b] = model.mapped("words", s)[1]["count"][ids[a:b] - model.bases[s]]
         return out
 
     def write_bigrams(frame: pd.DataFrame) -> pd.DataFrame:
@@ -504,18 +519,16 @@ def train(docs: DataFrame, path: str, parts: int, least: int = LEAST) -> Model:
             save(f"{path}/counted-{shard}", ef_pack(keys - start, int(keys[-1] - start) + 1, "seq") | rest)
         return pd.DataFrame({"shard": [shard], "n": [len(keys)], "kept": [left]})
 
-    told = shards(bigram_keys, model.bigram_shard).applyInPandas(write_bigrams, "shard long, n long, kept double").collect()  # a row for each shard
+    told = shards(bigram_keys, model.bigram_shard).applyInPandas(write_bigrams, "shard long, n long, kept double").toPandas()  # three numbers for each shard
     sizes = np.zeros(model.shards() + int(model.hot_parts.sum()), np.int64)
     kept = np.zeros(len(sizes))
-    for r in told:
-        sizes[r["shard"]], kept[r["shard"]] = r["n"], r["kept"]
+    sizes[told["shard"]], kept[told["shard"]] = told["n"], told["kept"]
     model.bigram_bases = np.concatenate([[0], np.cumsum(sizes)])
     if model.bigram_bases[-1] >= 1 << 32:
         raise OverflowError("places of bigrams have 32 bits")
     bounds = np.concatenate([[0], np.cumsum(model.hot_parts)]) + model.shards()
     model.hot_backoff = np.array([max(1e-13, 1 - kept[a:b].sum()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-    counted = {r["shard"] for r in told if r["n"]}
-    model.levels |= {("counted", s) for s in counted}
+    model.files["counted"] = counted = sizes > 0
 
     def trigram_keys(column):
         ids, _, joined = chain(column, model)
@@ -528,7 +541,7 @@ def train(docs: DataFrame, path: str, parts: int, least: int = LEAST) -> Model:
         parts = [b for b in frame["blob"] if b is not None]
         keys, counts = merged_shard(frame[frame["blob"].notna()]) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         keys, counts = keys[counts >= least], counts[counts >= least]
-        bigrams = dict(load(f"{path}/counted-{shard}"))
+        bigrams = load(f"{path}/counted-{shard}")[0]
         often = bigrams.pop("count")
         backoff = np.zeros(len(often), np.uint16)
         if len(keys):
@@ -541,9 +554,8 @@ def train(docs: DataFrame, path: str, parts: int, least: int = LEAST) -> Model:
         save(f"{path}/bigrams-{shard}", bigrams | {"backoff": backoff})
         return pd.DataFrame({"shard": [shard], "n": [len(keys)]})
 
-    if counted:
-        spark = docs.sparkSession
-        every = spark.createDataFrame([(s, None) for s in sorted(counted)], "shard long, blob binary")  # so that a shard without trigrams is finished too
+    if counted.any():
+        every = spark.createDataFrame(pd.DataFrame({"shard": np.flatnonzero(counted)})).select("shard", F.lit(None).cast("binary").alias("blob"))  # so that a shard without trigrams is finished too
 
         def run(batches):
             held = Gatherer(model.trigram_shard)
@@ -551,17 +563,21 @@ def train(docs: DataFrame, path: str, parts: int, least: int = LEAST) -> Model:
                 yield from held.add(trigram_keys(column))
             yield from held.flush()
 
-        told = docs.mapInArrow(run, "shard long, blob binary").unionByName(every).groupBy("shard").applyInPandas(write_trigrams, "shard long, n long").collect()
-        for s in counted:  # all have been written again as levels of the trie
+        told = docs.mapInArrow(run, "shard long, blob binary").unionByName(every).groupBy("shard").applyInPandas(write_trigrams, "shard long, n long").toPandas()
+        for s in np.flatnonzero(counted):  # all have been written again as levels of the trie
             store.delete_file(f"{place}/counted-{s}")
         model.bigram_level = "bigrams"
-        model.levels -= {("counted", s) for s in counted}
-        model.levels |= {("bigrams", s) for s in counted} | {("trigrams", r["shard"]) for r in told if r["n"]}
+        model.files = {"words": model.files["words"], "bigrams": counted, "trigrams": np.zeros(len(counted), bool)}
+        model.files["trigrams"][told["shard"][told["n"] > 0]] = True
     return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of docs; a null or empty text is its end token alone."""
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of docs.
+
+    A null, empty or blank text is its end token alone. A model of no tokens gives every token the same share. Repeated rows stay repeated, other
+    columns are ignored, an empty table gives no rows; a text of any length is scored whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # shard sizes and frequent words, a few numbers for each shard
 
     def run(batches):
@@ -579,9 +595,10 @@ def is_held_out(id_col):
 
 
 def train_and_score(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """Scores every row of docs by a model of those outside the held-out fold (crc32 of the id as text). Repeated rows count as often as they occur."""
-    spark = docs.sparkSession
+    """Scores every row of docs by a model of those outside the held-out fold (crc32 of the id as text).
+
+    Repeated rows count as often as they occur, and so do rows with a null id, which are never held out; null texts are learned as their end token.
+    """
     learned = texts(docs).where(~is_held_out(F.col("doc_id")))
-    parts = learned.rdd.getNumPartitions()  # follows the input's bytes; nothing runs
-    model = train(learned, work_dir(spark, "ngram-trie"), 2 * parts, least)
+    model = train(learned, work_dir(docs.sparkSession, "ngram-trie"), parts_of(learned, 4 << 20, 1 << 21), least)
     return score(docs, model).select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
