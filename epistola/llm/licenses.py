@@ -14,6 +14,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .url_reputation import LOWER, UPPER
+
 #: The base phrases of the contract and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: Notices by label; whole phrases of common licences.
@@ -48,8 +50,8 @@ _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    """Lower-case words of a text: runs of letters, digits and characters beyond ASCII."""
-    return F.filter(F.split(F.lower(text), _SEPARATORS), lambda w: w != "")
+    """Words of a text with A to Z in lower case: runs of letters, digits and characters beyond ASCII."""
+    return F.filter(F.split(F.translate(text, UPPER, LOWER), _SEPARATORS), lambda w: w != "")
 
 
 def grams(w: Column) -> Column:
@@ -64,10 +66,11 @@ def templates(spark: SparkSession, notices=None, base=None) -> DataFrame:
     rows = [(-1, None, False, 0, -1, "")]
     listed = [(label, text, True) for text, label in base.items()] + [(label, text, False) for label, text in (NOTICES if notices is None else notices)]
     for k, (label, text, is_base) in enumerate(listed):
-        w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()) if x]
+        w = [x for x in re.split(_SEPARATORS, text.lower()) if x]
         rows += [(k, label, is_base, len(w), i, f"{w[i]} {w[i + 1]}") for i in range(len(w) - 1)]
-    made = spark.createDataFrame(rows, "template int, label string, is_base boolean, size int, t_pos int, t_gram string")
-    return made.withColumn("hash", F.xxhash64("t_gram"))
+    fields = ["template", "label", "is_base", "size", "t_pos", "t_gram"]
+    literal = F.array(*[F.struct(*[F.lit(x).alias(name) if x is not None else F.lit(None).cast("string").alias(name) for name, x in zip(fields, row, strict=True)]) for row in rows])
+    return spark.range(1).select(F.inline(literal)).withColumn("hash", F.xxhash64("t_gram"))  # constants of the plan
 
 
 def spans(docs: DataFrame, notices=None, base=None) -> DataFrame:

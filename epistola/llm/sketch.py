@@ -6,16 +6,25 @@ the whole: the k smallest of both. Where a sketch has fewer than k hashes it hol
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import parts_of, texts
+from .url_reputation import LOWER, UPPER
+
 #: Hashes kept, and words of a shingle. The standard error of a resemblance is at most 0.5 / sqrt(K).
 K, WORDS = 128, 5
 
 
+#: Bytes of input for a bucket of documents, and buckets, at most.
+BUCKET, BUCKETS = 16 << 20, 1 << 13
+
+
 def words(text: Column) -> Column:
-    """Lower-case words; an empty text has none."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+    """Words with A to Z in lower case; an empty text has none."""
+    return F.filter(F.split(F.translate(text, UPPER, LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
 def shingle_hashes(hashes: Column, n: int = WORDS) -> Column:
@@ -83,26 +92,36 @@ def sketch_texts(docs: DataFrame, text: str, into: str, n: int = WORDS, k: int =
     return hashed.withColumn(into, bottom(shingle_hashes(F.col(f"{into}_h"), n), k)).drop(f"{into}_h")
 
 
+def bucket_of(cuts: list[int], value: Column) -> Column:
+    """The number of cuts (descending) at or above a value, less one, by looking through every n-th cut and then through the n from there."""
+    n = max(1, math.isqrt(len(cuts)))
+    longs = lambda xs: F.array(*[F.lit(c).cast("long") for c in xs])
+    above = lambda some: F.size(F.filter(some, lambda c: c >= value))
+    coarse = F.greatest(above(longs(cuts[::n])) - 1, F.lit(0))
+    return coarse * n + above(F.get(F.array(*[longs(cuts[i : i + n]) for i in range(0, len(cuts), n)]), coarse)) - 1
+
+
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
     """(doc_id, text, sketch, next_text, next_sketch) of every row, next by descending doc_id (null ids last, equal ids by text); the last's next is the first.
 
     Rows go to buckets between quantiles of doc_id, which are ids that exist; the first row of a bucket is also sent to the bucket
-    before it, where it stands behind the others. So texts are shuffled once, and no task sees more than a bucket.
+    before it, where it stands behind the others. So texts are shuffled once, each bucket is a partition of its own, and no task sees more than a bucket.
+    A single row is its own next; a null text is to be given as empty; an empty table gives no rows.
     """
     ids = docs.where("doc_id is not null")
     asked = [i / parts for i in range(1, parts)] + [1.0]
-    found = ids.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, asked)), 10000)).first()[0]
+    found = ids.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, asked)), 10 * max(1000, parts))).first()[0]
     cuts = sorted(set(found or [0]), reverse=True)  # the largest id first; at most `parts` values reach the driver
-    heads = F.array(*[F.lit(c).cast("long") for c in cuts])
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) - 1)).otherwise(F.size(F.filter(heads, lambda c: c >= F.col("doc_id"))) - 1)
-    head = F.array_position(heads, F.col("doc_id")).cast("int") - 1  # the bucket that this row may be the first of, else null or -1
-    before = F.when(head >= 0, F.when(head == 0, F.lit(len(cuts) - 1)).otherwise(head - 1))
-    one = F.struct(bucket.alias("b"), F.lit(False).alias("ghost"))
-    rows = docs.select("doc_id", "text", F.explode(F.when(before.isNotNull(), F.array(one, F.struct(before.alias("b"), F.lit(True).alias("ghost")))).otherwise(F.array(one))).alias("at"))
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) - 1)).otherwise(bucket_of(cuts, F.col("doc_id")))
+    # the bucket that this row may be the first of is its own, if its id is the bucket's cut
+    is_head = F.get(F.array(*[F.lit(c).cast("long") for c in cuts]), bucket) == F.col("doc_id")
+    before = F.when(is_head, F.when(bucket == 0, F.lit(len(cuts) - 1)).otherwise(bucket - 1))
+    one = F.struct(bucket.cast("int").alias("b"), F.lit(False).alias("ghost"))
+    rows = docs.select("doc_id", "text", F.explode(F.when(before.isNotNull(), F.array(one, F.struct(before.cast("int").alias("b"), F.lit(True).alias("ghost")))).otherwise(F.array(one))).alias("at"))
     if not found:  # ids are null throughout or there are no rows: the first row by text follows the last
         first = docs.select("doc_id", "text").orderBy("text").limit(1).select("doc_id", "text", F.struct(F.lit(0).alias("b"), F.lit(True).alias("ghost")).alias("at"))
         rows = rows.unionByName(first)
-    rows = sketch_texts(rows.select("doc_id", "text", "at.b", "at.ghost").repartition(parts, "b"), "text", "sketch")
+    rows = sketch_texts(rows.select("doc_id", "text", "at.b", "at.ghost").repartitionById(len(cuts), F.col("b")), "text", "sketch")
     order = Window.partitionBy("b").orderBy("ghost", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
     found = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order))
     return found.where(~F.col("ghost")).select("doc_id", "text", "sketch", "next_text", "next_sketch")
@@ -113,3 +132,25 @@ def edited(text: Column, following: Column) -> Column:
     n = F.char_length(text)
     cut = F.floor(n / 3).cast("int")
     return F.concat(F.substring(text, F.lit(1), n - cut), F.substring(following, F.lit(1), cut))
+
+
+def compare(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_shingles, within_edited) of every row of docs.
+
+    Null texts are empty, and two texts without words are alike; rows with a null id come after the others, and rows of equal ids in the order of their
+    texts, so repeated rows follow each other. A single row follows itself, an empty table gives no rows, other columns are ignored.
+    """
+    plain = texts(docs)
+    rows = with_next(plain, parts_of(plain, BUCKET, BUCKETS))
+    rows = sketch_texts(rows.withColumn("edited", edited(F.col("text"), F.col("next_text"))), "edited", "edited_sketch")
+    return rows.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        as_text(F.col("sketch")).alias("fingerprint"),
+        as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        distinct_shingles(F.col("sketch")).alias("n_shingles"),
+        containment(F.col("sketch"), F.col("edited_sketch")).alias("within_edited"),
+    )

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle
+
 #: The rules of the contract, (host, path, verdict).
 RULES = [
     ("org", "/", "allow"),
@@ -49,12 +51,17 @@ def rule_of(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return name, verdict
 
 
+def _name(host: Column) -> Column:
+    """A host without its port."""
+    return F.regexp_replace(host, r":[0-9]*$", "")
+
+
 def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+    return F.substring_index(_name(host), ".", -2)
 
 
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    return F.substring_index(_name(host), ".", -1)
 
 
 def _moments(parts: list[str]) -> list[Column]:
@@ -77,7 +84,7 @@ def _strength() -> Column:
 def reputations(outcomes: DataFrame) -> DataFrame:
     """(host, alpha, beta) of every host in `outcomes` (host, good), where good is 1, 0 or null for an unlabelled page."""
     hosts = outcomes.groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good"), F.count("good").cast("double").alias("n"))
-    hosts = hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "good", "n")
+    hosts = settle(hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "good", "n"), "reputation-hosts")  # read at each level below
     seen = hosts.where("n > 0")
     domains = seen.groupBy("suffix", "domain").agg(*_moments(["domain"])).withColumn("m", _strength()).select("suffix", "domain", F.col("p_good").alias("good"), F.col("p_n").alias("n"), F.col("m").alias("m_host"))
     suffixes = domains.groupBy("suffix").agg(*_moments(["suffix"])).withColumn("m", _strength()).select("suffix", F.col("p_good").alias("good"), F.col("p_n").alias("n"), F.col("m").alias("m_domain"))
@@ -131,7 +138,7 @@ def sql(rules=RULES, wanted: float = WANTED, z: float = Z) -> str:
     m = _strength_sql()
     mean = "alpha / (alpha + beta)"
     upper = f"least({mean} + {z}::DOUBLE * sqrt({mean} * (1 - {mean}) / (alpha + beta + 1)), 1)"
-    tail = lambda k: f"array_to_string(list_reverse(list_reverse(string_split(host, '.'))[1:{k}]), '.')"
+    tail = lambda k: f"array_to_string(list_reverse(list_reverse(string_split(regexp_replace(host, ':[0-9]*$', ''), '.'))[1:{k}]), '.')"
     return f"""WITH t AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM t),
 o AS (SELECT doc_id AS page_id, min(CAST(quality = 1 AND NOT (coalesce(toxic, 0) = 1) AS INTEGER)) AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
