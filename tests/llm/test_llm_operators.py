@@ -66,7 +66,7 @@ def test_every_operator_takes_odd_and_empty_tables(spark, odd):
 # op1
 
 
-def _brute_lm(rows):
+def _brute_lm(rows, least=1):
     low = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
     tok = {i: [*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().translate(low)), None] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tok}
@@ -80,7 +80,7 @@ def _brute_lm(rows):
     n, v = sum(c.values()), len(c)
     ones, twos = (sum(k == m for k in c.values()) for m in (1, 2))
     d1 = ones / (ones + 2 * twos) if ones else 0.5
-    kept2, kept3 = ({k: m for k, m in x.items() if m >= 2} for x in (pairs, triples))
+    kept2, kept3 = ({k: m for k, m in x.items() if m >= least} for x in (pairs, triples))
     mass1, mass2 = collections.Counter(), collections.Counter()
     for (a, _), m in kept2.items():
         mass1[a] += (m - 0.75) / c[a]
@@ -140,7 +140,7 @@ def _signed(x):
 
 
 def _sketch(text, k=sketch.K, n=sketch.WORDS):
-    w = [x for x in re.split(r"[ \t\n\x0B\f\r]+", text.lower()) if x]
+    w = [x for x in re.split(r"[ \t\n\x0B\f\r]+", "".join(c.lower() if c.isascii() else c for c in text)) if x]
     h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in w]
 
     def chain(xs, seed):

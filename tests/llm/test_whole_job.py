@@ -1,15 +1,19 @@
 """Places at which operators once did less than the whole job."""
 
-import inspect
 import itertools
+import math
+import random
 import re
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from epistola.functions import phones
-from epistola.llm import decontam, licenses, ngram_lm, registry, simhash
-from epistola.plans import catalogue
+from epistola.llm import bpe, decontam, langid, licenses, ngram_lm, quality, registry, simhash, sketch, toxicity, vector
+from epistola.llm.common import labelled_sample, within, work_dir
 from tests.llm import test_llm_operators as brute
 from tests.llm.test_llm_operators import DOC, prose
 
@@ -84,39 +88,176 @@ def test_items_without_an_id_are_removed_too(spark):
 # op1
 
 
-def test_whole_trie_keeps_what_occurs_once(spark, sf):
+def test_pruned_trie_backs_off(spark, sf):
     docs = registry.table(spark, sf, "documents").limit(60).cache()
-    kept = {}
-    exec(inspect.getsource(brute._brute_lm).replace("m >= 2", "m >= 1"), vars(brute) | {}, kept)  # the plain model, nothing pruned
-    got = {r["doc_id"]: r["score"] for r in ngram_lm.train_and_score(docs, least=1).collect()}
-    for i, _, n, *_, score in kept["_brute_lm"]([(r["doc_id"], r["text"]) for r in docs.collect()]):
+    got = {r["doc_id"]: r["score"] for r in ngram_lm.train_and_score(docs, least=2).collect()}
+    for i, _, n, *_, score in brute._brute_lm([(r["doc_id"], r["text"]) for r in docs.collect()], 2):
         assert got[i] == pytest.approx(score, abs=1e-3 * n)
-    assert "op1_ngram_trie_whole" in registry.QUERIES
 
 
-# phones
-
-
-def test_numbers_of_whole_texts_by_brute_force(spark, sf, tmp_path):
-    far = "x " * 9000 + "tel 8 (916) 123-45-67"
-    rows = [(1, far), (2, "+7 495 111-22-33, 84951112233 and 8-916-000-11-22"), (3, None)]
-    docs = spark.createDataFrame(rows, DOC).selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) as long) AS n_chars")
-    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
-    for path in (f"file://{tmp_path}", sf):
-        texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
-        for r in catalogue.phones_extracted(spark, path).collect():
-            found = re.findall(phones.NUMBER, texts[r["doc_id"]], re.ASCII)
-            digits = [re.sub(r"[^0-9]", "", x)[-10:] for x in found]
-            want = list(dict.fromkeys(f"+7 ({d[:3]}) {d[3:6]}-{d[6:8]}-{d[8:]}" for d in digits))
-            assert (r["n"], r["numbers"]) == (len(want), ",".join(want))
-
-
-# spine
-
-
-def test_every_order_has_its_day(spark, sf):
-    rows = catalogue.date_spine_all_orders(spark, sf).collect()
-    assert sum(r["n"] or 0 for r in rows) == spark.read.parquet(f"{sf}/orders.parquet").count() and any(not r["found"] for r in rows)
+def test_scoring_visits_the_shards_that_a_text_touches(spark):
+    rows = [(i, prose(30, i)) for i in range(40)]
+    few, many = (ngram_lm.train(spark.createDataFrame(rows, DOC), work_dir(spark, "shards"), parts) for parts in (16, 1 << 14))
+    column = pa.array([prose(30, 1), "q", ""])
+    asked = []
+    with pytest.MonkeyPatch.context() as m:
+        real = ngram_lm.Model.mapped
+        m.setattr(ngram_lm.Model, "mapped", lambda self, level, shard: asked.append((level, shard)) or real(self, level, shard))
+        again = many.score(column)
+    assert len(set(asked)) <= 4 * 40 and all(np.allclose(x, y, atol=0.05) for x, y in zip(few.score(column), again, strict=True))
+
+
+def test_files_in_memory_are_bounded(tmp_path):
+    cache = ngram_lm.Cache()
+    for k in range(6):
+        ngram_lm.save(f"file://{tmp_path}/x-{k}", ngram_lm.ef_pack(np.arange(1000, dtype=np.uint64), 1000, "seq"))
+    size = (tmp_path / "x-0").stat().st_size
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ngram_lm, "CACHE", 3 * size)
+        m.setattr(ngram_lm.fs, "LocalFileSystem", type("Nothing", (), {}))  # as on a store that isn't mounted
+        for k in (0, 1, 2, 0, 3, 4, 0):
+            assert cache.get(f"file://{tmp_path}", f"x-{k}")[0].find(np.array([7], np.uint64))[0] == 7
+    assert list(cache.held) == ["x-3", "x-4", "x-0"] and cache.used == 3 * size
+
+
+# samples
+
+
+def test_samples_are_bounded_and_whole(spark):
+    docs = spark.createDataFrame([(i % 50, prose(5 + i, i)) for i in range(300)] + [(7, "again")] * 500 + [(None, "x")], DOC)
+    labels = spark.createDataFrame([(i % 50, i % 2, 0) for i in range(2000)] + [(None, 1, 1)], "doc_id long, quality int, toxic int")
+    for limit, budget in ((20, 1 << 20), (1000, 1 << 20), (1000, 8000)):
+        rows = labelled_sample(docs, labels, "quality", 3, 1, limit, budget).collect()
+        held = {i for i in range(50) if zlib.crc32(str(i).encode()) % 3 == 1}
+        ids = [r["doc_id"] for r in rows]
+        assert len(set(ids)) == len(ids) and not set(ids) & held and sum(len(r["text"]) for r in rows) <= budget
+        assert all(r["label"] == r["doc_id"] % 2 for r in rows)
+        if budget > 8000:
+            assert len(ids) == min(limit, 50 - len(held))
+    assert within([5, 100, 40, 3, 9], 80) == [0, 3, 4] and within([], 8) == []
+
+
+# op9
+
+
+def test_each_row_teaches_its_own_language(spark):
+    r = random.Random(4)
+    fr, en, xx = (["".join(r.choice(c) for _ in range(r.randint(3, 8))) for _ in range(300)] for c in ("aeioulmn", "bcdfghk", "pqrstvwxyz"))
+    text = lambda words, n: " ".join(r.choice(words) for _ in range(n))
+    rows = [(1, text(fr if i % 2 else en, 30), "fr" if i % 2 else "en") for i in range(200)]  # all of one id
+    rows += [(i, text(en, 30), "en") for i in range(1000, 7000)] + [(i, text(xx, 30), "xx") for i in (9001, 9002, 9004)]
+    rows += [(8000, text(fr, 60000), "fr"), (None, text(fr, 3), "fr")]  # a text longer than the bytes of the sample
+    docs = spark.createDataFrame(rows, DOC + ", lang string")
+    model = langid.fit(docs)
+    assert model.langs == ["en", "fr", "xx"]
+    tests = [(i, text(w, 20)) for i, w in enumerate((fr, en, xx))]
+    assert [x["lang_pred"] for x in langid.identify(spark.createDataFrame(tests, DOC), model).orderBy("doc_id").collect()] == ["fr", "en", "xx"]
+    only = langid.fit(docs.where("lang = 'fr' and doc_id = 8000").unionByName(docs.where("lang = 'xx'")), sample_bytes=1000)  # too long: cut
+    assert only.langs == ["fr", "xx"]
+
+
+# op10
+
+
+def test_lines_of_one_text_are_told_apart(spark):
+    docs, labels = brute._labelled(spark)
+    r, rows, marks = random.Random(5), [], []
+    for i in range(2000, 2600):  # labelled bad for a part of their lines
+        good = [prose(12, 10 * i + k) for k in range(r.randint(1, 4))]
+        bad = [prose(12, 10 * i + 5 + k).upper().replace(" ", "!! ") for k in range(r.randint(1, 4))]
+        rows.append((i, "\n".join(good + bad if i % 2 else bad + good), "en"))
+        marks.append((i, 0, 0))
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    labels = labels.unionByName(spark.createDataFrame(marks, labels.schema))
+    model = quality.fit(docs, labels)
+    told = []
+    for _, text, _ in rows[:100]:
+        _, _, before, x = quality.lines(*brute._raw([text]))
+        told += [(m > 0.5) == (line != line.upper()) for m, line in zip(model.marginals(before, x), text.split("\n"), strict=True)]
+    assert np.mean(told) > 0.97
+    got = quality.score(docs, model).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1).collect()
+    assert np.mean([(x["score"] >= 0.5) == (x["quality"] == 1) for x in got]) > 0.97
+
+
+def test_line_features_by_a_plain_count():
+    text = "The cat, THE cat!! 12|3\n\n  a a a $ b \nThe cat, THE cat!! 12|3"
+    starts, ends, before, x = quality.lines(*brute._raw(["z\n", text]))
+    raw = b"z\n" + text.encode()
+    assert [raw[a:b].decode() for a, b in zip(starts, ends, strict=True)] == ["z", *[ln for ln in text.split("\n") if ln]] and list(before) == [0, 1, 4]
+    common = set(quality.COMMON)
+    for row, line, again in zip(x[1:], [ln for ln in text.split("\n") if ln], (1, 0, 1), strict=True):
+        words, size = line.split(), len(line)
+        rate = lambda chars: sum(c in chars for c in line) / size  # noqa: E731, B023
+        want = {
+            "bytes": math.log1p(size), "words": math.log1p(len(words)), "capitals": sum(c.isupper() for c in line) / size, "digits": sum(c.isdigit() for c in line) / size, "points": rate(".,;:?\"'()-"),
+            "bangs": rate("!"), "bars": rate("|\t"), "symbols": rate("#$%&*@^~<>{}[]=+_\\/"), "word_bytes": size / len(words), "common": sum(w.lower() in common for w in re.findall("[A-Za-z]+", line)) / len(words),
+            "echo": sum(a.lower() == b.lower() for a, b in itertools.pairwise(words)) / len(words), "again": again, "long_word": math.log1p(max(map(len, words))),
+        }
+        assert dict(zip(quality.NAMES, row, strict=True)) == pytest.approx(want)
+
+
+# op6
+
+
+def test_toxicity_features_by_a_plain_count():
+    lexicon = vector.HashSet(vector.hash_words(["grumph"]), np.array([3.0]))
+    texts = ["You IDIOT, you m0ron!! Grumph scum? ok", "calm words & a f.o.o 1 2", ""]
+    got = toxicity.features(*brute._raw(texts), lexicon)
+    every = set(toxicity.SEVERE) | set(toxicity.STRONG) | set(toxicity.MILD)
+    for text, row in zip(texts, got, strict=True):
+        f = dict(zip(toxicity.NAMES, row, strict=True))
+        w = re.findall("[A-Za-z]+", text)
+        low, n, n3, size = [x.lower() for x in w], max(1, len(w)), max(1, len(text.split())), max(1, len(text))
+        hits = [x for x in low if x in every]
+        assert f["log_bytes"] == pytest.approx(math.log1p(len(text))) and f["log_words"] == pytest.approx(math.log1p(n))
+        for name, words in (("severe", toxicity.SEVERE), ("strong", toxicity.STRONG), ("mild", toxicity.MILD)):
+            assert f[name] == pytest.approx(sum(x in words for x in low) / n)
+        assert f["distinct_hits"] == len(set(hits)) and f["log_hits"] == pytest.approx(math.log1p(len(hits))) and f["any_hits"] == float(bool(hits))
+        assert f["second_person"] == pytest.approx(sum(x in toxicity.SECOND_PERSON for x in low) / n) and f["learned"] == pytest.approx(low.count("grumph") / n) and f["learned_weight"] == (3.0 if "grumph" in low else 0.0)
+        plain = [re.sub(r"[,?]", "", x).lower() for x in text.split()]
+        undone = sum(any(c in toxicity.ALIKE for c in x) and "".join(toxicity.ALIKE.get(c, c) for c in x.rstrip("!")) in every for x in plain)
+        assert f["undone"] == pytest.approx(undone / n) or "!!" in text  # a mark after a word is a look-alike too
+        assert f["capitals"] == pytest.approx(sum(c.isupper() for c in text) / size) and f["exclaim"] == pytest.approx(text.count("!") / size) and f["question"] == pytest.approx(text.count("?") / size)
+        assert f["digits"] == pytest.approx(sum(c.isdigit() for c in text) / size) and f["word_bytes"] == pytest.approx(len(text) / n3)
+
+
+# defined results
+
+
+def test_values_for_odd_rows(spark):
+    rows = [(1, None), (2, ""), (3, " \n\t "), (4, "same words here again now"), (4, "same words here again now"), (None, "no id"), (5, prose(30000, 1))]
+    d = spark.createDataFrame(rows, DOC).withColumns({"lang": F.lit("en"), "h": F.lit("x"), "d1": F.lit(1), "node": F.lit(2), "b": F.lit(3), "size": F.lit(0)})
+    scored = {r["doc_id"]: r for r in ngram_lm.train_and_score(d).collect()}
+    assert [scored[i]["n_tokens"] for i in (1, 2, 3, 4, None, 5)] == [1, 1, 1, 6, 3, 30001] and scored[1]["score"] == scored[2]["score"] == scored[3]["score"] and not scored[None]["held_out"]
+    compared = sketch.compare(d).collect()
+    by = {r["doc_id"]: r for r in compared}
+    assert len(compared) == 7 and [by[i]["n_chars"] for i in (1, 2, 3, 4, None)] == [0, 0, 4, 25, 5] and by[1]["fingerprint"] == by[3]["fingerprint"] == "" and by[3]["near_next"] == 1.0
+    assert by[None]["near_next"] == 0.0 and sorted(r["near_next"] for r in compared if r["doc_id"] == 4) == [0.0, 1.0]  # the second repeat is followed by a blank text
+    one = sketch.compare(d.where("doc_id = 5")).first()
+    assert one["near_next"] == 1.0 and sketch.compare(d.limit(0)).count() == 0
+    labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int")
+    toxic = {r["doc_id"]: r["score"] for r in toxicity.score(d, toxicity.fit(d, labels)).collect()}
+    assert toxic[1] == toxic[2] and len(toxic) == 6
+    assert {r["score"] for r in quality.score(d, quality.fit(d, labels.limit(0))).collect()} == {0.5}
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(d, langid.fit(d)).collect()}
+    assert found == {1: "und", 2: "und", 3: "und", 4: "en", None: "en", 5: "en"}
+    assert {(r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(d).where("doc_id < 4").collect()} == {("0" * 16, 1)}
+    assert [(r["n_words"], r["labels"], r["score"]) for r in licenses.scan(d).where("doc_id < 4").collect()] == [(0, "", 0.0)] * 3
+    assert all(r["n_tokens"] == 0 and r["ids_sha256"] == r["decoded_sha256"] for r in bpe.digests(bpe.encode_documents(d)).where("doc_id < 3").collect())
+
+
+def test_pipeline_on_an_empty_table_and_extra_columns(spark, tmp_path):
+    sf = f"file://{tmp_path}"
+    docs = spark.createDataFrame([(1, prose(40, 1), "en", "s", 1, "x", 2)], DOC + ", lang string, source string, n_chars long, d1 string, node int")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    for rows, n in ((docs, 1), (docs.limit(0), 0)):
+        rows.write.mode("overwrite").parquet(f"{sf}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, rows, sf).columns == rows.columns
+        got = corpus_pipeline.run(spark, sf)
+        assert got.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids", "decoded_sha256"] and got.count() == n
 
 
 # op5
