@@ -13,7 +13,7 @@ from ..operators.components import shared_path as work_dir  # noqa: F401
 from ..shipping import ship
 
 #: Bytes of text handled at once inside a Python worker; bounds its memory whatever the partition size (Spark itself ends an Arrow batch at 64 MB).
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

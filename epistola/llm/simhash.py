@@ -252,6 +252,7 @@ def deal(codes: DataFrame, n: int, choices: list[list[int]], shard: int = SHARD,
     dealt = codes.select("node", "joined", "size", *words, F.posexplode(F.array(*keys)).alias("choice", "key"))
     counts = dealt.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all"))
     counts = counts.where((F.col("n") > large) | (F.col("all") > HEAVY)).select("choice", "key", F.greatest(F.ceil(F.col("n") / (large // 2)), F.ceil(F.col("all") / HEAVY)).cast("int").alias("chunks"))
+    counts = settle(counts, "simhash-chunked")  # of the large shards only; Spark sees its size, and broadcasts it if it is small
     chunked = dealt.join(counts, ["choice", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j")))
@@ -401,7 +402,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     choices = random_choices(n)
 
     def with_texts(wanted: DataFrame) -> DataFrame:
-        named = wanted.select("node").distinct().join(nodes, "node").select("node", "first.*")
+        named = settle(wanted.select("node").distinct().join(nodes, "node").select("node", "first.*"), "copies-wanted")  # a table, so that Spark sees its size
         return settle(rows.select("first_id", "d1", "d2", "text").join(named, ["first_id", "d1", "d2"]).select("node", "text").dropDuplicates(["node"]), "copies-texts")
 
     candidates = settle(links(nodes.select("node", F.col("node").alias("joined"), "size", "fp0", "fp1"), n, choices[:FIRST], STEPS, shard=BUCKET), "copies-candidates")
@@ -418,5 +419,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     group = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
     stays = group.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    named = plain.select("*", *key).join(stays, ["first_id", "d1", "d2"], "left_semi").dropDuplicates(["first_id", "d1", "d2"])
+    names = ["first_id", "d1", "d2"]
+    rows_of = signed.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    goes = settle(rows_of.join(stays, names, "left_anti").select(*names), "copies-go")
+    again = settle(rows_of.where("n > 1").join(stays, names, "left_semi").select(*names), "copies-again")
+    named = plain.select("*", *key).join(goes, names, "left_anti")  # without a shuffle of the texts, if few enough go
+    if again.head(1):  # rows of one id and one text, of which one stays
+        named = named.join(again, names, "left_anti").unionByName(named.join(again, names, "left_semi").dropDuplicates(names))
     return named.select(*plain.columns).toDF(*docs.columns)
