@@ -41,6 +41,44 @@ def renamed(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), f"c{docs.columns.index(text_col)}"
 
 
+#: Bits of a filter for each key and probes of a key; bits of a filter, at least and at most (32 MB).
+SPREAD, PROBES, SMALLEST, LARGEST = 16, 4, 1 << 12, 1 << 28
+
+
+def _probes(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(k), key), F.lit(bits)) for k in range(PROBES)]
+
+
+def bit_filter(keys: DataFrame, column: str, spread: int = SPREAD) -> DataFrame:
+    """One row with a bit filter of the keys, as an array of longs, of which LARGEST bits at most: what `passed` needs, and what is broadcast, is bounded.
+
+    With more keys than the bits are for, the filter only lets more strangers pass.
+    """
+    n = keys.count()
+    bits = min(LARGEST, max(SMALLEST, 1 << (spread * n).bit_length()))
+    marks = keys.select(F.explode(F.array(*_probes(F.col(column), bits))).alias("at"))
+    words = marks.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63).cast("long")).cast("int"))).alias("value")).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[words.column("word").to_numpy()] = words.column("value").to_numpy()
+    return keys.sparkSession.createDataFrame(pa.table({"bits": pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), pa.array(table))}))
+
+
+def passed(rows: DataFrame, found: DataFrame, column: str, by: bool = True) -> DataFrame:
+    """The rows whose key may be among the filter's keys; with by=False those whose key surely isn't. Nothing is shuffled."""
+    size = F.size("bits").cast("long") * 64
+    hit = F.lit(True)
+    for k in range(PROBES):
+        at = F.pmod(F.xxhash64(F.lit(k), F.col(column)), size)
+        hit = hit & (F.bit_get(F.get("bits", F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1)
+    return rows.join(F.broadcast(found), hit, "left_semi" if by else "left_anti")
+
+
+def without(rows: DataFrame, gone: DataFrame, names: list[str], column: str) -> DataFrame:
+    """The rows whose `names` aren't in the settled table `gone`. Only rows that pass a bit filter of `column` are joined, so the others aren't shuffled."""
+    found = bit_filter(gone, column)
+    return passed(rows, found, column, False).unionByName(passed(rows, found, column).join(gone, names, "left_anti"))
+
+
 def bounded_batches(batches, limit: int = CHUNK_BYTES):
     """Record batches cut so that the text (column 1) of each holds about `limit` bytes, one document at least."""
     for batch in batches:

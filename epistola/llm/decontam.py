@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, digest, raw_text, renamed, settle, texts, whole
+from .common import bounded_batches, digest, raw_text, renamed, settle, texts, whole, without
 from .vector import LETTERS, hashes, mix, spans
 
 #: Masks, five words each; every window with four of five words intact, in whatever pattern, holds one of them within a few words.
@@ -229,4 +229,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without a verified overlap, all columns; null and empty texts stay."""
     plain, text = renamed(docs)
     found = overlaps(docs, benchmark).select("d1", "d2")
-    return plain.select("*", *digest(whole(text))).join(found, ["d1", "d2"], "left_anti").select(*plain.columns).toDF(*docs.columns)
+    return without(plain.select("*", *digest(whole(text))), found, ["d1", "d2"], "d1").select(*plain.columns).toDF(*docs.columns)

@@ -104,11 +104,15 @@ class Model:
 
 def labelled_texts(docs: DataFrame, sample: int, sample_bytes: int, folds: int, held_out: int) -> list[tuple[str, bytes]]:
     """(language, text) of each language's sample: rows outside the held-out fold with a language, each with its own text, by the smallest hashes of both
-    id and text, equal texts of a language once. Each task gives out its smallest only, and the driver receives numbers first and then the texts chosen.
+    id and text, equal texts of a language once. The driver receives numbers first and then the texts chosen.
     Where all texts of a language are too long for its bytes, its shortest is cut to them."""
     fold = crc_mod(F.col("doc_id").cast("long"), folds) != held_out
     rows = docs.where(F.col("lang").isNotNull() & fold).select(F.col("lang").cast("string").alias("lang"), F.xxhash64(F.col("doc_id").cast("long"), whole("text")).alias("h"), whole("text").alias("text"))
-    ranked = rows.select("lang", "h", F.xxhash64("text").alias("d"), F.octet_length("text").alias("size"), F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("n"))
+    counts = docs.where(F.col("lang").isNotNull() & fold).groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("all"))
+    # only hashes below one that gives four times as many rows as asked for are ranked
+    most = F.broadcast(counts.select("lang", F.when(F.col("all") <= 4 * sample, F.lit(2**63 - 1)).otherwise((F.lit(4.0 * sample) / F.col("all") - 0.5) * F.lit(2.0**64)).cast("long").alias("most")))  # a row for each language
+    low = rows.join(most, "lang").where(F.col("h") <= F.col("most"))
+    ranked = low.select("lang", "h", F.xxhash64("text").alias("d"), F.octet_length("text").alias("size"), F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("n"))
     kept: dict[str, dict[int, tuple[int, int]]] = {}
     for r in ranked.where(F.col("n") <= sample).orderBy("lang", "h").collect():  # at most `sample` rows of numbers for a language
         kept.setdefault(r["lang"], {}).setdefault(r["d"], (r["h"], r["size"]))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .common import bounded_batches, digest, raw_text, renamed, settle, texts, whole
+from .common import bit_filter, bounded_batches, digest, passed, raw_text, renamed, settle, texts, whole, without
 from .vector import NOT_SPACE, hashes, mix, spans
 
 BITS, SEED, WORDS, MAX_DIFF = 64, 42, 4, 4
@@ -403,19 +403,20 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     def with_texts(wanted: DataFrame) -> DataFrame:
         named = settle(wanted.select("node").distinct().join(nodes, "node").select("node", "first.*"), "copies-wanted")  # a table, so that Spark sees its size
-        return settle(rows.select("first_id", "d1", "d2", "text").join(named, ["first_id", "d1", "d2"]).select("node", "text").dropDuplicates(["node"]), "copies-texts")
+        may = passed(rows, bit_filter(named, "d1"), "d1").select("first_id", "d1", "d2", "text")
+        return settle(may.join(named, ["first_id", "d1", "d2"]).select("node", "text").dropDuplicates(["node"]), "copies-texts")
 
     candidates = settle(links(nodes.select("node", F.col("node").alias("joined"), "size", "fp0", "fp1"), n, choices[:FIRST], STEPS, shard=BUCKET), "copies-candidates")
     given = with_texts(candidates.select(F.explode(F.array("a", "b")).alias("node")))
     both = candidates.join(given.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(given.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    passed = settle(both.select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long"), "copies-links")
+    linked = settle(both.select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long"), "copies-links")
 
-    codes = nodes.join(components(passed), "node", "left").select("node", F.coalesce("root", "node").alias("joined"), "size", "fp0", "fp1")
+    codes = nodes.join(components(linked), "node", "left").select("node", F.coalesce("root", "node").alias("joined"), "size", "fp0", "fp1")
     tiled, parts = deal(codes, n, choices, BUCKET)
     searched = tiled.repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_outside, tiled.schema)
     outside = settle(searched, "copies-outside")
     compared = outside.join(with_texts(outside), "node").select(*tiled.columns, "text").repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_compare_all, "a long, b long")
-    roots = components(passed.unionByName(compared))
+    roots = components(linked.unionByName(compared))
 
     group = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
     stays = group.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
@@ -423,7 +424,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows_of = signed.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     goes = settle(rows_of.join(stays, names, "left_anti").select(*names), "copies-go")
     again = settle(rows_of.where("n > 1").join(stays, names, "left_semi").select(*names), "copies-again")
-    named = plain.select("*", *key).join(goes, names, "left_anti")  # without a shuffle of the texts, if few enough go
+    named = without(plain.select("*", *key), goes, names, "d1")
     if again.head(1):  # rows of one id and one text, of which one stays
-        named = named.join(again, names, "left_anti").unionByName(named.join(again, names, "left_semi").dropDuplicates(names))
+        same = passed(named, bit_filter(again, "d1"), "d1").join(again, names, "left_semi").dropDuplicates(names)
+        named = without(named, again, names, "d1").unionByName(same)
     return named.select(*plain.columns).toDF(*docs.columns)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from epistola.llm import bpe, decontam, langid, licenses, ngram_lm, quality, registry, simhash, sketch, toxicity, vector
+from epistola.llm import bpe, common, decontam, langid, licenses, ngram_lm, quality, registry, simhash, sketch, toxicity, vector
 from epistola.llm.common import labelled_sample, within, work_dir
 from tests.llm import test_llm_operators as brute
 from tests.llm.test_llm_operators import DOC, prose
@@ -267,3 +267,25 @@ def test_full_notices_beside_partial_ones(spark):
     rows = [(1, "CC BY, CC BY-NC"), (2, "CC BY CC BY-ND"), (3, "BSD License BSD License"), (4, "CC BY-NC"), (5, "BSD here")]
     got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(spark.createDataFrame(rows, DOC)).collect()}
     assert got == {1: ("cc-by,cc-by-nc", 1.0), 2: ("cc-by,cc-by-nd", 1.0), 3: ("bsd", 1.0), 4: ("cc-by,cc-by-nc", 1.0), 5: ("", 0.0)}
+
+
+# filters
+
+
+def test_rows_that_are_gone_by_a_full_and_a_wide_filter(spark):
+    keys = spark.range(0, 600, 3).select(F.xxhash64("id").alias("d1"), "id")
+    gone = spark.createDataFrame(keys.toPandas())
+    rows = spark.range(600).select(F.xxhash64("id").alias("d1"), "id", F.lit("x").alias("text"))
+    for most in (1 << 28, 256):  # the second lets many strangers pass
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(common, "LARGEST", most)
+            m.setattr(common, "SMALLEST", 64)
+            found = common.bit_filter(gone, "d1")
+            assert found.count() == 1 and passed_ids(rows, found) >= set(range(0, 600, 3)) and (most > 256) == (len(passed_ids(rows, found)) < 210)
+            left = sorted(r["id"] for r in common.without(rows, gone, ["d1", "id"], "d1").collect())
+            assert left == [i for i in range(600) if i % 3]
+            assert common.without(rows, gone.limit(0), ["d1", "id"], "d1").count() == 600
+
+
+def passed_ids(rows, found):
+    return {r["id"] for r in common.passed(rows, found, "d1").collect()}
