@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +18,22 @@ from ..shipping import ship
 CHUNK_BYTES = 1 << 20
 
 
+#: Rows of an Arrow batch that the queries ask a session for: a batch of Spark's own size, 64 MB of texts, costs an executor several times that beside its heap.
+BATCH = 1024
+
+
+def prepared(query):
+    """A query that first asks its session for Arrow batches of at most BATCH rows. Operators leave sessions as they are, and give the same rows with any."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+        return query(spark, *rest)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

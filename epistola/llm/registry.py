@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import url_reputation
-from .common import crc_mod, table
+from .common import crc_mod, prepared, table
 
 
 def held_out(operator):
@@ -90,15 +90,10 @@ def op10_quality_lines(spark, sf_dir):
 
 
 QUERIES = {
-    "op1_ngram_trie": op1_ngram_trie,
-    "op2_bottom_k_sketch": op2_bottom_k_sketch,
-    "op3_url_reputation": op3_url_reputation,
-    "op4_simhash_gray": op4_simhash_gray,
-    "op5_license_diagonals": op5_license_diagonals,
-    "op6_toxicity_trees": op6_toxicity_trees,
-    "op7_spaced_seeds": op7_spaced_seeds,
-    "op8_byte_bpe": op8_byte_bpe,
-    "op9_language_crf": op9_language_crf,
-    "op10_quality_lines": op10_quality_lines,
-}
+    f.__name__: prepared(f)
+    for f in (
+        op1_ngram_trie, op2_bottom_k_sketch, op3_url_reputation, op4_simhash_gray, op5_license_diagonals, op6_toxicity_trees, op7_spaced_seeds, op8_byte_bpe, op9_language_crf,
+        op10_quality_lines,
+    )
+}
 SQL: dict[str, str] = {"op3_url_reputation": url_reputation.sql()}
