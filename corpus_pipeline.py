@@ -17,30 +17,35 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from epistola.llm import bpe, decontam, langid, simhash, toxicity
-from epistola.llm.common import settle, table
+from epistola.llm.common import prepared, settle, table
 
 #: Share of a text, by length of words, that its language must have; low, as a text that switches between languages is clean.
 MIN_SHARE = 0.3
 ORACLE_SQL = None
 
 
+@prepared
 def remove_toxic(spark, docs, sf_dir):
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.keep(docs, model)
 
 
+@prepared
 def keep_languages(spark, docs, sf_dir):
     return langid.keep(docs, langid.fit(table(spark, sf_dir, "documents")), MIN_SHARE)
 
 
+@prepared
 def drop_near_duplicates(spark, docs, sf_dir):
     return simhash.keep_one(docs)
 
 
+@prepared
 def decontaminate(spark, docs, sf_dir):
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@prepared
 def encode(spark, docs, sf_dir):
     out = bpe.encode_documents(docs, keep=["lang", "source"])
     return out.select("doc_id", "lang", "source", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"), "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
