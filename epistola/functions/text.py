@@ -44,8 +44,8 @@ def normalize_name(c: Column) -> Column:
 
 
 def recipients(c: Column) -> Column:
-    """All addresses of a header, in order."""
-    return F.regexp_extract_all(_blank(c), F.lit(f"({EMAIL})"), F.lit(1))
+    """All addresses of a header, in order; only texts with an @ are searched."""
+    return F.when(_blank(c).contains("@"), F.regexp_extract_all(c, F.lit(f"({EMAIL})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
 
 
 def address_of(c: Column) -> Column:
@@ -101,11 +101,12 @@ def strip_html(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"<[^>]+>", ""), r"&[a-z]+;", " ")
 
 
-def join_body(parts: Column, limit: int = 500_000) -> Column:
-    """Text parts (struct of text, kind, disposition) of more than ten characters, html stripped, attachments left out."""
+def join_body(parts: Column, limit: int | None = None) -> Column:
+    """Text parts (struct of text, kind, disposition) of more than ten characters, html stripped, attachments left out; cut only where a limit is given."""
     kept = F.filter(parts, lambda p: ~F.lower(_blank(p["disposition"])).contains("attachment") & p["kind"].isin("text/plain", "text/html"))
     plain = F.transform(kept, lambda p: F.when(p["kind"] == "text/html", strip_html(p["text"])).otherwise(p["text"]))
-    return F.substring(F.array_join(F.filter(plain, lambda t: F.length(F.trim(t)) > 10), "\n"), 1, limit)
+    body = F.array_join(F.filter(plain, lambda t: F.length(F.trim(t)) > 10), "\n")
+    return body if limit is None else F.substring(body, 1, limit)
 
 
 def safe_filename(c: Column) -> Column:

@@ -67,7 +67,7 @@ def merge(contacts: DataFrame, key: str) -> DataFrame:
     numbers = contacts.where(F.length(_text(F.col("phone"))) > 0).groupBy(key, "phone").agg(F.min("ord").alias("at"))
     numbers = numbers.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "phone"))), lambda s: s["phone"]).alias("phones"))
     merged = contacts.groupBy(key).agg(*map(longest, FIELDS), F.min_by("email", named("email")).alias("email"), F.greatest(F.lit(0.0), F.max("confidence")).alias("confidence"), F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n"))
-    return merged.join(numbers, key, "left").withColumns({"phone": F.get("phones", F.lit(0)), "other_phones": F.array_join(F.slice("phones", 2, 1000000), ",")}).drop("phones")
+    return merged.join(numbers, key, "left").withColumns({"phone": F.get("phones", F.lit(0)), "other_phones": F.array_join(F.slice("phones", F.lit(2), F.size("phones")), ",")}).drop("phones")
 
 
 def tiered(contacts: DataFrame) -> DataFrame:
@@ -110,6 +110,11 @@ def transitive(contacts: DataFrame) -> DataFrame:
     return c.select("ord").join(roots, c["ord"] == roots["node"], "left").select("ord", F.coalesce("root", "ord").alias("root"))
 
 
+def transitive_merged(contacts: DataFrame) -> DataFrame:
+    """One merged row for each group of `transitive`, keyed by the group's first row, which is the base that ties go to."""
+    return merge(contacts.join(transitive(contacts).withColumnRenamed("root", "key"), "ord"), "key")
+
+
 def answer_errors(parsed: Column) -> Column:
     """What an answer lacks, as a list; empty for a valid one. parsed: as parse_answer gives it."""
     checks = [

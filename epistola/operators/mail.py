@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 
 UNKNOWN = "unknown"
+NAME_STATUSES = ["excluded_by_name", "excluded_by_base_name", "excluded_by_filter"]
 STATUSES = ["saved", "already_exists", "excluded", "unsupported", "excluded_by_name", "excluded_by_base_name", "excluded_by_filter", "excluded_by_size"]
 
 
@@ -28,14 +29,23 @@ def records(raw: DataFrame) -> DataFrame:
 def attachment_stats(attachments: Column) -> Column:
     """Counts of a mail's attachments by status, without a shuffle."""
     n = lambda test: F.size(F.filter(attachments, test))
-    names = ["excluded_by_name", "excluded_by_base_name", "excluded_by_filter"]
     return F.struct(
         F.size(attachments).alias("total"), n(lambda a: a["status"] == "saved").alias("saved"), n(lambda a: a["status"] == "excluded").alias("excluded"),
-        n(lambda a: a["status"].isin(names)).alias("excluded_filenames"), n(lambda a: a["status"] == "excluded_by_size").alias("excluded_by_size"),
+        n(lambda a: a["status"].isin(NAME_STATUSES)).alias("excluded_filenames"), n(lambda a: a["status"] == "excluded_by_size").alias("excluded_by_size"),
         n(lambda a: a["status"] == "unsupported").alias("unsupported"), n(lambda a: a["is_inline"]).alias("inline_images"),
     )
 
 
+def stats_by_mail(attachments: DataFrame, by: str) -> DataFrame:
+    """The counts of `attachment_stats` from a row for each attachment (by, status, inline), summed before they are shuffled."""
+    s = F.col("status")
+    n = lambda test: F.count_if(test).cast("long")
+    return attachments.groupBy(by).agg(
+        F.count(F.lit(1)).alias("total"), n(s == "saved").alias("saved"), n(s.isin(NAME_STATUSES)).alias("excluded_filenames"), n(s == "excluded_by_size").alias("excluded_by_size"),
+        n(s == "excluded").alias("excluded"), n(s == "unsupported").alias("unsupported"), n(F.col("inline")).alias("inline_images"),
+    )
+
+
 def status_counts(attachments: DataFrame, by: str) -> DataFrame:
     """The same from rows: a column for each status."""
     return attachments.groupBy(by).pivot("status", STATUSES).agg(F.count(F.lit(1)))
@@ -81,11 +91,23 @@ def contact_rows(mails: DataFrame) -> DataFrame:
 
 
 def offer_rows(mails: DataFrame) -> DataFrame:
-    """Found offers with their defaults, prices as text and, where they can be read, as decimals."""
+    """Found offers (day, from, thread_id, offer) as the fifteen columns of the offers' table with their defaults, and the price as a decimal where it can be read."""
     o = F.col("offer")
+    said = lambda name, default="": F.coalesce(F.nullif(o[name], F.lit("")), F.lit(default)).alias(name)
     return mails.where(F.coalesce(o["commercial_offer_found"], F.lit(False))).select(
-        "thread_id", F.coalesce(F.nullif(o["offer_number"], F.lit("")), F.lit("n/a")).alias("offer_number"), F.coalesce(F.nullif(o["currency"], F.lit("")), F.lit("RUB")).alias("currency"),
-        o["total_cost"].alias("total_cost"), F.regexp_replace(F.regexp_replace(o["total_cost"], r"[^0-9.,]", ""), ",", ".").try_cast("decimal(18,2)").alias("total_value"),
+        "day", F.coalesce("from", F.lit(UNKNOWN)).alias("from"), said("offer_number", "n/a"), *map(said, ("offer_date", "end_user", "end_user_city", "intermediary", "payment_terms", "delivery_time")),
+        *map(said, ("delivery_terms", "valid_until", "issued_by", "total_cost")), said("currency", "RUB"), F.coalesce("thread_id", F.lit(UNKNOWN)).alias("thread_id"),
+        F.regexp_replace(F.regexp_replace(o["total_cost"], r"[^0-9.,]", ""), ",", ".").try_cast("decimal(18,2)").alias("total_value"),
+    )
+
+
+def contact_table(mails: DataFrame, low: str = "low") -> DataFrame:
+    """The eleven columns of the contacts' table, of mails (day, thread_id, subject, contacts with a priority's level)."""
+    c = F.col("contact")
+    text = lambda name: F.coalesce(c[name], F.lit("")).alias(name)
+    return mails.select("day", "thread_id", "subject", F.explode("contacts").alias("contact")).select(
+        "day", *map(text, ("name", "email", "phone", "organization", "position", "city")), F.coalesce(c["confidence"], F.lit(0.0)).alias("confidence"), F.coalesce(c["level"], F.lit(low)).alias("level"),
+        F.coalesce("subject", F.lit(UNKNOWN)).alias("subject"), F.coalesce("thread_id", F.lit(UNKNOWN)).alias("thread_id"),
     )
 
 
@@ -135,6 +157,20 @@ def needs_ocr(layer: Column, least: int = 100) -> Column:
     return F.length(F.trim(F.coalesce(layer, F.lit("")))) <= least
 
 
+def day_summary(mails: DataFrame) -> DataFrame:
+    """A row for each day of mails (day, contacts with a score, context, actions, offer_found): contacts by band, and how many actions, contexts and offers.
+
+    The flattened rows themselves are `explode`s of the mails; a day's lists are never gathered in one row.
+    """
+    band = lambda test: F.sum(F.size(F.filter("contacts", test))).cast("long")
+    score = lambda c: F.coalesce(c["score"], F.lit(0.0))
+    return mails.groupBy("day").agg(
+        F.sum(F.size("contacts")).cast("long").alias("total_contacts"), band(lambda c: score(c) >= 0.8).alias("high"), band(lambda c: (score(c) >= 0.6) & (score(c) < 0.8)).alias("medium"),
+        band(lambda c: score(c) < 0.6).alias("low"), F.sum(F.size("actions")).cast("long").alias("total_action_items"), F.count_if(F.length("context") > 0).cast("long").alias("total_business_contexts"),
+        F.count_if("offer_found").cast("long").alias("total_commercial_offers"),
+    )
+
+
 def day_results(mails: DataFrame) -> DataFrame:
     """A row for each day: counts, and the previews of the first five contacts and three offers in order of arrival, not of score."""
     c = mails.select("day", "ord", F.struct("ord", "name", "organization", "city", "confidence", "score").alias("c"), "is_offer", "score")

@@ -26,10 +26,46 @@ def reason_counts(mails: DataFrame) -> DataFrame:
     return mails.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def corpus_totals(mails: DataFrame) -> DataFrame:
+def corpus_totals(mails: DataFrame, attachments: DataFrame | None = None) -> DataFrame:
+    """Mails, characters, estimated tokens and long mails; with attachments (mail_id, status, file_path) also the mails with a saved one and the saved ones."""
+    totals = _mail_totals(mails)
+    if attachments is None:
+        return totals
+    saved = F.col("status") == "saved"
+    files = attachments.agg(F.countDistinct(F.when(saved & F.col("file_path").isNotNull(), F.col("mail_id"))).alias("mails_with_attachments"), F.count_if(saved).cast("long").alias("saved_attachments"))
+    return totals.crossJoin(F.broadcast(files))  # one row beside one row
+
+
+def _mail_totals(mails: DataFrame) -> DataFrame:
     return mails.agg(F.count(F.lit(1)).alias("mails"), F.sum(F.length("body").cast("long")).alias("chars"), tx.token_estimate(F.sum(F.length("body").cast("long"))).alias("tokens"), F.count_if(F.length("body") > 12000).cast("long").alias("long_mails"))
 
 
+def fetch_totals(mails: DataFrame, attachments: DataFrame) -> DataFrame:
+    """One row of all counters of a fetch, the mails left out by rules, and the rates of saved mails and of saved attachments.
+
+    mails: (reason, failed, retry), reason as `filters.filter_reason` gives it, retry successful, failed or null; attachments: (status, inline, by_shape).
+    """
+    r, s = F.col("reason"), F.col("status")
+    n = lambda test: F.count_if(F.coalesce(test, F.lit(False))).cast("long")
+    by_rule = {"filtered_subject": "subject", "filtered_blacklist": "blacklist", "filtered_mass_mailing": "internal_mass"}
+    taken = F.coalesce(r, F.lit("")) == ""
+    of_mails = mails.agg(
+        F.count(F.lit(1)).alias("processed"), n(taken & ~F.col("failed")).alias("saved"), n(r == "already_saved").alias("already_exists"), *[n(r == why).alias(name) for name, why in by_rule.items()],
+        n(r == "too_large").alias("skipped_large_emails"), n(F.col("failed")).alias("errors"), n(F.col("retry") == "successful").alias("retry_successful"), n(F.col("retry") == "failed").alias("retry_failed"),
+        n(r == "too_large").alias("total_skipped"),
+    )
+    shape = F.coalesce(F.col("by_shape"), F.lit(False))
+    of_files = attachments.agg(
+        n((s == "saved") & ~F.col("inline")).alias("saved_attachments"), n((s == "saved") & F.col("inline")).alias("saved_inline_images"), n(s == "excluded").alias("excluded_attachments"),
+        n(s.isin("excluded_by_name", "excluded_by_base_name", "excluded_by_filter")).alias("excluded_filenames"), n((s == "excluded_by_size") & ~shape).alias("excluded_by_size"),
+        n((s == "excluded_by_size") & shape).alias("excluded_by_image_dimensions"), n(s == "unsupported").alias("unsupported_attachments"),
+    )
+    both = of_mails.crossJoin(F.broadcast(of_files))  # one row beside one row
+    kept = F.col("saved_attachments") + F.col("saved_inline_images")
+    outcomes = kept + F.col("excluded_attachments") + F.col("excluded_filenames") + F.col("excluded_by_size") + F.col("excluded_by_image_dimensions") + F.col("unsupported_attachments")
+    return both.withColumns({"total_filtered": sum((F.col(c) for c in list(by_rule)[1:]), F.col("filtered_subject")), "efficiency_pct": rate(kept, outcomes), "save_pct": rate(F.col("saved"), F.col("processed"))})
+
+
 def fetch_counters(attachments: DataFrame) -> DataFrame:
     s = F.col("status")
     saved, total = F.count_if(s == "saved").cast("long"), F.count(F.lit(1))
@@ -58,12 +94,9 @@ def running(daily: DataFrame, day: str, *columns: str) -> DataFrame:
 
 def quality_by_type_and_method(rows: DataFrame) -> DataFrame:
     """Totals by file type, by method, and over all, in one pass."""
-    view = f"quality_{abs(hash(rows.semanticHash()))}"
-    rows.createOrReplaceTempView(view)
-    return rows.sparkSession.sql(f"""
-        SELECT file_type, method, count(*) AS total, CAST(count_if(ok) AS BIGINT) AS successful,
-               try_divide(CAST(count_if(ok) AS DOUBLE) * 100.0D, count(*)) AS pct
-        FROM {view} GROUP BY GROUPING SETS ((file_type), (method), ())""")
+    kind, method = F.col("file_type"), F.col("method")
+    ok = F.count_if("ok").cast("long")
+    return rows.groupingSets([[kind], [method], []], kind, method).agg(F.count(F.lit(1)).alias("total"), ok.alias("successful"), rate(ok.cast("double"), F.count(F.lit(1))).alias("pct"))
 
 
 def success_rollup(rows: DataFrame, day: str) -> DataFrame:

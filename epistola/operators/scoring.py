@@ -45,14 +45,14 @@ def confidence(c: Column) -> Column:
     return F.greatest(_d(0), F.least(_d(1), F.when(F.isnan(x), _d(0)).otherwise(x)))
 
 
-def contact_priority(city, position, organization, urgency, product, email, phone, conf, regions=None, positions=None, industries=None) -> Column:
+def contact_priority(city, position, organization, urgency, product, email, phone, conf, regions=None, positions=None, industries=None, urgent=None, products=None) -> Column:
     """struct(score, level, reasons) of a contact; urgency and product are null where the business context is not an object."""
     tests = [
         (_any(city, regions or REGIONS), 0.15, F.concat(F.lit("priority region: "), city)),
         (_any(position, positions or POSITIONS), 0.2, F.concat(F.lit("important position: "), position)),
         (_any(organization, industries or INDUSTRIES), 0.15, F.concat(F.lit("priority industry: "), organization)),
-        (_any(urgency, [URGENT]), 0.1, F.lit("high urgency")),
-        (_any(product, [PRODUCT]), 0.2, F.lit("interest in the key product")),
+        (_any(urgency, urgent or [URGENT]), 0.1, F.lit("high urgency")),
+        (_any(product, products or [PRODUCT]), 0.2, F.lit("interest in the key product")),
     ]
     score, reasons = _d(0.5), []
     for test, amount, reason in tests:
@@ -79,11 +79,11 @@ def region_priority(region: Column, levels=None) -> Column:
     return out.otherwise(row(0.1, "very low", region))
 
 
-def regional_contact_priority(region: Column, equipment: Column, budget: Column, urgency: Column) -> Column:
+def regional_contact_priority(region: Column, equipment: Column, budget: Column, urgency: Column, levels=None, kinds=None, urgent_words=None, normal_words=None) -> Column:
     """struct(score, level, factors): the level is taken before the score is capped."""
-    info = region_priority(region)
-    relevant, low = _any(equipment, EQUIPMENT), F.lower(F.coalesce(urgency, F.lit("")))
-    paid, urgent, normal = F.coalesce(budget, F.lit(False)), low.isin(URGENT_WORDS), low.isin(NORMAL_WORDS)
+    info = region_priority(region, levels)
+    relevant, low = _any(equipment, kinds or EQUIPMENT), F.lower(F.coalesce(urgency, F.lit("")))
+    paid, urgent, normal = F.coalesce(budget, F.lit(False)), low.isin(urgent_words or URGENT_WORDS), low.isin(normal_words or NORMAL_WORDS)
     score = _add(_add(info["score"] * _d(0.4), relevant, 0.3), paid, 0.15)
     score = score + F.when(urgent, _d(0.15)).when(normal, _d(0.08)).otherwise(_d(0))
     level = F.when(score >= 0.8, "critical").when(score >= 0.6, "high").when(score >= 0.4, "medium").when(score >= 0.2, "low").otherwise("minimal")
@@ -92,19 +92,29 @@ def regional_contact_priority(region: Column, equipment: Column, budget: Column,
 
 
 def text_quality(text: Column, method: Column) -> Column:
-    """struct(score, level, length, useful): not clamped, 1.2 at most; an empty text scores 0."""
-    length = F.length(F.trim(text))
-    score = _add(_d(1.0), length < 50, -0.3)
-    for mark in ERROR_MARKS:
-        score = _add(score, text.contains(mark), -0.4)
-    score = score + F.when(method == "ocr", _d(-0.5)).when(method == "description", _d(-0.4)).otherwise(_d(0))
-    useful = F.lit(False)
-    for rx in USEFUL:
-        useful = useful | text.rlike(rx)
-    score = _add(score, useful, 0.2)
-    level = F.when(score >= 0.8, "excellent").when(score >= 0.6, "good").when(score >= 0.4, "fair").when(score >= 0.2, "poor").otherwise("failed")
-    empty = F.coalesce(F.length(text), F.lit(0)) == 0
-    return F.struct(
-        F.when(empty, _d(0)).otherwise(F.bround(score, 2)).alias("score"), F.when(empty, "failed").otherwise(level).alias("level"),
-        F.when(empty, 0).otherwise(length).alias("length"), F.when(empty, False).otherwise(useful).alias("useful"),
-    )
+    """struct(score, level, length, useful): not clamped, 1.2 at most; an empty text scores 0.
+
+    What is measured is an array of one struct, through which the optimiser doesn't look: each pattern is tried once, however many fields are read.
+    """
+    useful = text.rlike("|".join(p for p in USEFUL if "@" not in p))
+    for p in USEFUL:
+        if "@" in p:
+            useful = F.when(useful, F.lit(True)).when(text.contains("@"), text.rlike(p)).otherwise(F.lit(False))
+    measured = F.array(F.struct(F.length(F.trim(text)).alias("length"), F.length(text).alias("whole"), useful.alias("useful"), *[text.contains(mark).alias(f"mark{i}") for i, mark in enumerate(ERROR_MARKS)], method.alias("method")))
+
+    def scored(m: Column) -> Column:
+        score = _add(_d(1.0), m["length"] < 50, -0.3)
+        for i in range(len(ERROR_MARKS)):
+            score = _add(score, m[f"mark{i}"], -0.4)
+        score = score + F.when(m["method"] == "ocr", _d(-0.5)).when(m["method"] == "description", _d(-0.4)).otherwise(_d(0))
+        return F.struct(_add(score, m["useful"], 0.2).alias("s"), (F.coalesce(m["whole"], F.lit(0)) == 0).alias("empty"), m["length"].alias("length"), m["useful"].alias("useful"))
+
+    def told(m: Column) -> Column:
+        s = m["s"]
+        level = F.when(s >= 0.8, "excellent").when(s >= 0.6, "good").when(s >= 0.4, "fair").when(s >= 0.2, "poor").otherwise("failed")
+        return F.struct(
+            F.when(m["empty"], _d(0)).otherwise(F.bround(s, 2)).alias("score"), F.when(m["empty"], "failed").otherwise(level).alias("level"),
+            F.when(m["empty"], 0).otherwise(m["length"]).alias("length"), F.when(m["empty"], False).otherwise(m["useful"]).alias("useful"),
+        )
+
+    return F.get(F.transform(F.transform(measured, scored), told), F.lit(0))

@@ -7,7 +7,7 @@ batches with a few numbers of state, so a key of any length needs no memory. The
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INITIAL, LOWEST, HIGHEST, CALM = 30.0, 10.0, 120.0, 5
@@ -22,14 +22,14 @@ class Delay:
         self.delay, self.errors, self.calm = state or (initial, 0, 0)
 
     def step(self, outcome: str) -> float:
-        """Takes in an outcome and returns the delay that was in force before it."""
+        """Takes in an outcome and returns the delay that was in force before it. An outcome that it doesn't know changes nothing."""
         used = self.delay
         if outcome == "success":
             self.errors, self.calm = 0, self.calm + 1
             self.delay = max(self.lowest, self.delay * 0.8)
             if self.calm >= CALM:
                 self.delay, self.calm = self.initial, 0
-        else:
+        elif outcome in ("rate_limit_error", "other_error", "timeout"):
             self.errors, self.calm = self.errors + 1, 0
             if outcome == "rate_limit_error":
                 self.delay = min(self.highest, self.delay * 1.5 ** min(self.errors, 3))
@@ -137,6 +137,22 @@ def next_provider(active: list[tuple[str, bool]], current: str, wrap: bool = Fal
     return None
 
 
+def fallback(order: Column, usable: Column, current: Column) -> Column:
+    """The first usable provider after the current one in an array of names; from the start if the current one isn't in it, null if there is none.
+
+    usable: an array of the names that are healthy and whose breaker is closed.
+    """
+    later = F.slice(order, F.array_position(order, current).cast("int") + 1, F.size(order))
+    return F.get(F.filter(later, lambda p: F.array_contains(usable, p)), F.lit(0))
+
+
+def retry_wait(attempt: Column, seed: Column, status: Column, retry_after: Column) -> Column:
+    """Seconds before a retry: after a 429 what Retry-After says, a minute if it isn't a number; else doubling up to five minutes, with a jitter of a tenth to a half by seed in [0, 1]."""
+    base = F.least(F.pow(F.lit(2.0), attempt), F.lit(300.0))
+    said = F.when(F.trim(retry_after).rlike("^[0-9]+$"), F.trim(retry_after).cast("double")).otherwise(F.lit(60.0))
+    return F.when(status == 429, F.coalesce(said, F.lit(60.0))).otherwise(base + base * (F.lit(0.1) + F.lit(0.4) * seed))
+
+
 def backoff(attempt: int, seed: float = 0.5) -> float:
     """Seconds before a retry: doubling up to five minutes, with a seeded jitter of a tenth to a half."""
     base = float(min(2**attempt, 300))

@@ -62,13 +62,8 @@ def thread_key(spark, sf):
     return m.select("doc_id", tx.thread_id(F.col("sender"), F.col("subject"), F.col("raw"), F.col("day")).alias("thread_id"), tx.generated_message_id(F.concat(F.lit("x@"), d), F.col("subject"), F.col("raw")).alias("message_id"))
 
 
-@Q(r"SELECT doc_id, regexp_replace(substr(text, 1, 80), '[^\p{L}\p{M}\p{Nd}\p{Pc}\s\-\.]', '_', 'g') AS name FROM documents")
-def safe_filename(spark, sf):
-    return b.table(spark, sf, "documents").select("doc_id", tx.safe_filename(F.substring("text", 1, 80)).alias("name"))
-
-
 @Q(r"SELECT doc_id, regexp_replace(text, '[^\p{L}\p{M}\p{Nd}\p{Pc}\s\-\.]', '_', 'g') AS name FROM documents")
-def safe_filename_whole(spark, sf):
+def safe_filename(spark, sf):
     return b.table(spark, sf, "documents").select("doc_id", tx.safe_filename(F.col("text")).alias("name"))
 
 
@@ -151,20 +146,16 @@ def sizes_and_previews(spark, sf):
     return b.table(spark, sf, "part").select("p_partkey", tx.size_mb(F.col("p_retailprice") * 1000).alias("mb"), tx.preview(F.col("p_type"), 12).alias("short"))
 
 
-@Q(f"""WITH {b.MAILS} SELECT doc_id, regexp_extract_all(body, '(?:^|[^0-9])((?:\\+7|8)[\\s\\-]?\\(?[0-9]{{3}}\\)?[\\s\\-]?[0-9]{{3}}[\\s\\-]?[0-9]{{2}}[\\s\\-]?[0-9]{{2}})', 1) IS NOT NULL AS searched FROM mails""")
-def phones_searched(spark, sf):
-    return b.mails(spark, sf).select("doc_id", phones.extract_phones(F.col("body")).isNotNull().alias("searched"))
-
-
-@Q(f"""WITH {b.CONTACTS}, p AS (SELECT ord, CASE WHEN ord % 2 = 0 THEN '+7 (495) ' ELSE '+7 (916) ' END || lpad(CAST(ord % 1000 AS VARCHAR), 3, '0') || '-12-34' AS number, CAST(ord % 1000 AS VARCHAR) AS ext FROM contacts)
-SELECT ord, number AS found, CASE WHEN ord % 2 = 0 THEN 'false' ELSE 'true' END AS mobile, 'доб. ' || ext AS extension,
+@Q(f"""WITH {b.CONTACTS}, p AS (SELECT ord, CASE WHEN ord % 2 = 0 THEN '+7 (495) ' ELSE '+7 (916) ' END || lpad(CAST(ord % 1000 AS VARCHAR), 3, '0') AS head, CAST(ord % 1000 AS VARCHAR) AS ext FROM contacts)
+SELECT ord, head || '-12-34' || CASE WHEN ord % 2 = 0 THEN ' (доб. ' || ext || '),' || head || '-12-07 (доб. ' || ext || ')' ELSE '' END AS found, ord % 2 = 1 AS mobile, 'доб. ' || ext AS extension,
 '+7 (382) 22' || (ord % 10) || '-43-63,+7 (382) 22' || (ord % 10) || '-43-65' AS pair FROM p""")
 def phone_grammar(spark, sf):
-    c = b.contacts(spark, sf).select("ord", F.concat(F.expr("CASE WHEN ord % 2 = 0 THEN '8(495)' ELSE '+7 916 ' END"), F.lpad((F.col("ord") % 1000).cast("string"), 3, "0"), F.lit("-12-34")).alias("raw"))
+    """Numbers with an extension and a variant of the last pair, which only landline numbers keep, and pairs with a comma."""
+    c = b.contacts(spark, sf).select("ord", F.concat(F.expr("CASE WHEN ord % 2 = 0 THEN '+7 (495) ' ELSE '+7 (916) ' END"), F.lpad((F.col("ord") % 1000).cast("string"), 3, "0"), F.lit("-12-34 (7)")).alias("raw"))
     text = F.concat(F.lit("tel "), "raw", F.lit(" доб. "), (F.col("ord") % 1000).cast("string"))
     pair = F.concat(F.lit("+7(38222) "), (F.col("ord") % 10).cast("string"), F.lit("-43-63, "), (F.col("ord") % 10).cast("string"), F.lit("-43-65"))
-    c = c.select("ord", F.get(phones.extract_phones(text), F.lit(0)).alias("found"), text.alias("text"), pair.alias("pair"))
-    return c.select("ord", "found", phones.is_mobile(F.col("found")).cast("string").alias("mobile"), F.array_join(phones.extensions(F.col("text")), ",").alias("extension"), F.array_join(phones.comma_pairs(F.col("pair")), ",").alias("pair"))
+    c = c.select("ord", phones.extract_phones(text).alias("found"), text.alias("text"), pair.alias("pair"))
+    return c.select("ord", F.array_join("found", ",").alias("found"), phones.is_mobile(F.get("found", F.lit(0))).alias("mobile"), F.array_join(phones.extensions(F.col("text")), ",").alias("extension"), F.array_join(phones.comma_pairs(F.col("pair")), ",").alias("pair"))
 
 
 @Q()
@@ -173,18 +164,11 @@ def phones_extracted(spark, sf):
     return b.mails(spark, sf).select("doc_id", F.size(found).cast("long").alias("n"), F.array_join(found, ",").alias("numbers"))
 
 
-_PHONE_LIKE = r"\+?[0-9][0-9()\-]{7,18}[0-9]"
-
-
-@Q(f"""WITH {b.MAILS}, f AS (SELECT day, doc_id, unnest(regexp_extract_all(body, '{_PHONE_LIKE}')) AS p FROM mails), d AS (SELECT day, count(DISTINCT doc_id) AS mails_with, count(DISTINCT p) AS phones FROM f GROUP BY day)
-SELECT m.day, count(*) AS mails, coalesce(max(d.mails_with), 0) AS mails_with, coalesce(max(d.phones), 0) AS phones, (SELECT count(DISTINCT p) FROM f) AS all_phones FROM mails m LEFT JOIN d ON d.day = m.day GROUP BY m.day""")
+@Q(f"""WITH {b.CONTACTS}, f AS (SELECT ord, ord % 20 AS day, '+7 (495) ' || right(phone, 9) AS p FROM contacts), d AS (SELECT day, count(*) AS mails, count(p) AS mails_with, count(DISTINCT p) AS phones FROM f GROUP BY day)
+SELECT *, (SELECT count(DISTINCT p) FROM f) AS all_phones FROM d""")
 def phone_counts(spark, sf):
-    m = b.mails(spark, sf)
-    found = m.select("day", "doc_id", F.explode(F.regexp_extract_all("body", F.lit(f"({_PHONE_LIKE})"), F.lit(1))).alias("p"))
-    per = found.groupBy("day").agg(F.countDistinct("doc_id").alias("mails_with"), F.countDistinct("p").alias("phones"))
-    every = found.agg(F.countDistinct("p").alias("all_phones"))
-    daily = m.groupBy("day").agg(F.count(F.lit(1)).alias("mails")).join(per, "day", "left").crossJoin(F.broadcast(every))  # one row
-    return daily.select("day", "mails", F.coalesce("mails_with", F.lit(0)).alias("mails_with"), F.coalesce("phones", F.lit(0)).alias("phones"), "all_phones")
+    c = b.contacts(spark, sf).select("ord", (F.col("ord") % 20).alias("day"), F.concat(F.lit("call "), F.coalesce("phone", F.lit("nobody")), F.lit(" before noon")).alias("body"))
+    return phones.counts_by_day(c, "day", "ord", "body")
 
 
 # filters -----------------------------------------------------------------------------------------------------------------------------
@@ -251,9 +235,7 @@ def attachment_status(spark, sf):
 @Q(f"""WITH {b.ATTACHMENTS}, {_STATUS} SELECT mail_id, count(*) AS total, count(*) FILTER (status = 'saved') AS saved, count(*) FILTER (status IN ('excluded_by_name', 'excluded_by_base_name', 'excluded_by_filter')) AS excluded_filenames,
 count(*) FILTER (status = 'excluded_by_size') AS excluded_by_size, count(*) FILTER (status = 'excluded') AS excluded, count(*) FILTER (status = 'unsupported') AS unsupported, count(*) FILTER (inline) AS inline_images FROM statuses GROUP BY mail_id""")
 def attachment_stats(spark, sf):
-    grouped = _statuses(spark, sf).groupBy("mail_id").agg(F.collect_list(F.struct("status", F.col("inline").alias("is_inline"))).alias("a"))
-    s = grouped.select("mail_id", mail.attachment_stats(F.col("a")).alias("s"))
-    return s.select("mail_id", *[F.col(f"s.{c}").cast("long").alias(c) for c in ("total", "saved", "excluded_filenames", "excluded_by_size", "excluded", "unsupported", "inline_images")])
+    return mail.stats_by_mail(_statuses(spark, sf), "mail_id")
 
 
 @Q(f"""WITH {b.ATTACHMENTS}, {_STATUS} SELECT mail_id, count(*) FILTER (status = 'saved') AS saved, count(*) FILTER (status = 'already_exists') AS already_exists, count(*) FILTER (status = 'unsupported') AS unsupported FROM statuses GROUP BY mail_id""")
@@ -268,10 +250,35 @@ def fetch_counters(spark, sf):
     return rollups.fetch_counters(_statuses(spark, sf))
 
 
+@Q(f"""WITH {b.MAILS}, {b.ATTACHMENTS}, {_STATUS}, r AS (SELECT CASE WHEN doc_id % 19 = 0 THEN 'already_saved' WHEN {_SUBJECT} IS NOT NULL THEN 'subject' WHEN {_SENDER} IS NOT NULL THEN 'blacklist' WHEN doc_id % 13 = 0 THEN 'internal_mass' WHEN n_chars > 10000 THEN 'too_large' END AS reason,
+  doc_id % 17 = 0 AS failed, CASE doc_id % 23 WHEN 0 THEN 'successful' WHEN 1 THEN 'failed' END AS retry FROM mails),
+m AS (SELECT count(*) AS processed, count(*) FILTER (reason IS NULL AND NOT failed) AS saved, count(*) FILTER (reason = 'already_saved') AS already_exists, count(*) FILTER (reason = 'subject') AS filtered_subject, count(*) FILTER (reason = 'blacklist') AS filtered_blacklist,
+  count(*) FILTER (reason = 'internal_mass') AS filtered_mass_mailing, count(*) FILTER (reason = 'too_large') AS skipped_large_emails, count(*) FILTER (failed) AS errors, count(*) FILTER (retry = 'successful') AS retry_successful, count(*) FILTER (retry = 'failed') AS retry_failed,
+  count(*) FILTER (reason = 'too_large') AS total_skipped FROM r),
+x AS (SELECT s.*, coalesce(a.shape = '416x250', false) AS by_shape FROM statuses s JOIN attachments a USING (id)),
+f AS (SELECT count(*) FILTER (status = 'saved' AND NOT inline) AS saved_attachments, count(*) FILTER (status = 'saved' AND inline) AS saved_inline_images, count(*) FILTER (status = 'excluded') AS excluded_attachments, count(*) FILTER (status IN ('excluded_by_name', 'excluded_by_base_name', 'excluded_by_filter')) AS excluded_filenames,
+  count(*) FILTER (status = 'excluded_by_size' AND NOT by_shape) AS excluded_by_size, count(*) FILTER (status = 'excluded_by_size' AND by_shape) AS excluded_by_image_dimensions, count(*) FILTER (status = 'unsupported') AS unsupported_attachments FROM x)
+SELECT *, filtered_subject + filtered_blacklist + filtered_mass_mailing AS total_filtered, CAST(100.0 AS DOUBLE) * (saved_attachments + saved_inline_images) / (saved_attachments + saved_inline_images + excluded_attachments + excluded_filenames + excluded_by_size + excluded_by_image_dimensions + unsupported_attachments) AS efficiency_pct,
+CAST(100.0 AS DOUBLE) * saved / processed AS save_pct FROM m, f""")
+def fetch_totals(spark, sf):
+    m = b.mails(spark, sf)
+    by_rule = fl.subject_rule(F.col("subject"), b.SUBJECT_RULES), fl.blacklist_rule(F.col("sender"), b.SENDER_RULES)
+    reason = fl.filter_reason(F.col("doc_id") % 19 == 0, *by_rule, F.col("doc_id") % 13 == 0, F.col("n_chars") * 10000)
+    m = m.select(reason.alias("reason"), (F.col("doc_id") % 17 == 0).alias("failed"), F.expr("CASE doc_id % 23 WHEN 0 THEN 'successful' WHEN 1 THEN 'failed' END").alias("retry"))
+    return rollups.fetch_totals(m, _statuses(spark, sf).withColumn("by_shape", F.col("shape") == fl.BANNER_SHAPE))
+
+
+@Q(f"""WITH {b.MAILS}, {b.ATTACHMENTS}, {_STATUS}, t AS (SELECT count(*) AS mails, CAST(sum(length(body)) AS BIGINT) AS chars, CAST(floor(sum(length(body)) / 3.0) AS BIGINT) AS tokens, count(*) FILTER (length(body) > 12000) AS long_mails FROM mails)
+SELECT t.*, (SELECT count(DISTINCT mail_id) FROM statuses WHERE status = 'saved' AND id % 2 = 0) AS mails_with_attachments, (SELECT count(*) FROM statuses WHERE status = 'saved') AS saved_attachments FROM t""")
+def corpus_totals(spark, sf):
+    a = _statuses(spark, sf).withColumn("file_path", F.when(F.col("id") % 2 == 0, F.col("name")))
+    return rollups.corpus_totals(b.mails(spark, sf), a)
+
+
 @Q(f"""WITH {b.ATTACHMENTS}, {_STATUS} SELECT mail_id, bool_or(status = 'saved' AND id % 2 = 0) AS kept FROM statuses GROUP BY mail_id""")
 def mails_with_saved(spark, sf):
     a = _statuses(spark, sf).withColumn("file_path", F.when(F.col("id") % 2 == 0, F.col("name")))
-    return a.groupBy("mail_id").agg(F.collect_list(F.struct("status", "file_path")).alias("a")).select("mail_id", fl.has_saved_attachment(F.col("a")).alias("kept"))
+    return a.groupBy("mail_id").agg(F.bool_or(fl.has_saved_attachment(F.array(F.struct("status", "file_path")))).alias("kept"))
 
 
 @Q(f"""WITH {b.ATTACHMENTS}, s AS (SELECT id, CASE WHEN id % 4 = 0 THEN -1 ELSE size * 2000 END AS size, lower(name) || CASE id % 3 WHEN 0 THEN ' ATTACHMENT ' || (size * 1000) WHEN 1 THEN ' application/zip' ELSE '' END AS st FROM attachments)
@@ -344,6 +351,17 @@ def contacts_transitive_dedup(spark, sf):
     return ct.transitive(b.contacts(spark, sf))
 
 
+_ROOTS = SQL["contacts_transitive_dedup"].split("SELECT a AS ord", 1)[0]
+
+
+@Q(f"""{_ROOTS}, keyed AS (SELECT contacts.*, r.key FROM contacts JOIN (SELECT a AS ord, min(r) AS key FROM reach GROUP BY a) r USING (ord)),
+num AS (SELECT key, phone, min(ord) AS first_at FROM keyed WHERE phone <> '' GROUP BY key, phone), nums AS (SELECT key, list(phone ORDER BY first_at) AS ps FROM num GROUP BY key),
+m AS (SELECT key, {_LONGEST}, arg_min(email, ord) FILTER (email <> '') AS email, max(coalesce(conf, CAST(0 AS DOUBLE))) AS confidence, min(ord) AS ord, count(*) AS n FROM keyed GROUP BY key)
+SELECT m.key, nullif(name, '\x01') AS name, organization, position, city, email, confidence, ord, n, ps[1] AS phone, array_to_string(ps[2:], ',') AS other_phones FROM m LEFT JOIN nums USING (key)""")
+def contacts_transitive_merge(spark, sf):
+    return ct.transitive_merged(b.contacts(spark, sf).withColumn("confidence", scoring.confidence(F.col("confidence"))))
+
+
 # scores ------------------------------------------------------------------------------------------------------------------------------
 
 _DBL = lambda x: f"CAST({x} AS DOUBLE)"
@@ -439,16 +457,9 @@ def range_scan(spark, sf):
     return b.orders(spark, sf).select("o_orderkey", "day").where(F.col("day").between(F.lit("1995-03-01").cast("date"), F.lit("1995-05-31").cast("date")))
 
 
-@Q(f"""WITH {b.ORDERS}, d AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '1995-12-31', INTERVAL 1 DAY)) AS DATE) AS day), r AS (SELECT day, count(*) AS n FROM mailed WHERE o_orderkey % 40 = 0 GROUP BY day)
-SELECT d.day, r.n, r.n IS NOT NULL AS found FROM d LEFT JOIN r USING (day)""")
-def date_spine_left_join(spark, sf):
-    results = rollups.per_day(b.orders(spark, sf).where("o_orderkey % 40 = 0"), "day")
-    return joins.on_spine(joins.date_spine(spark, "1995-01-01", "1995-12-31"), results)
-
-
 @Q(f"""WITH {b.ORDERS}, d AS (SELECT CAST(unnest(generate_series(DATE '1994-12-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS day), r AS (SELECT day, count(*) AS n FROM mailed GROUP BY day)
 SELECT d.day, r.n, r.n IS NOT NULL AS found FROM d LEFT JOIN r USING (day)""")
-def date_spine_all_orders(spark, sf):
+def date_spine_left_join(spark, sf):
     return joins.on_spine(joins.date_spine(spark, "1994-12-01", "2001-12-31"), rollups.per_day(b.orders(spark, sf), "day"))
 
 
@@ -525,7 +536,7 @@ def retry_dead_letter(spark, sf):
 def _streamed(spark, sf, machine, name, **columns):
     from ..streaming import state as streaming
 
-    log = spark.readStream.schema(b.table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")
+    log = spark.readStream.option("maxFilesPerTrigger", 1).schema(b.table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")
     outcome = F.expr("CASE event_type WHEN 'error' THEN 'rate_limit_error' WHEN 'click' THEN 'timeout' WHEN 'signup' THEN 'other_error' ELSE 'success' END")
     requests = log.select((F.col("user_id") % 50).alias("provider"), (F.col("event_id") % 997).alias("message"), "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("ts"), outcome.alias("outcome")).withColumn("ok", F.col("outcome") == "success")
     return streaming.run_once(getattr(streaming, machine)(requests), shared_path(spark, name), shared_path(spark, f"{name}-state"))
@@ -570,11 +581,78 @@ def export_contacts_flat(spark, sf):
     return mail.contact_rows(c.select(F.col("ord").cast("string").alias("thread_id"), F.lit("x@example.com").alias("from"), F.lit("s").alias("subject"), one.alias("contacts")))
 
 
-@Q("""SELECT CAST(o_orderkey AS VARCHAR) AS thread_id, CASE WHEN o_orderkey % 2 = 0 THEN 'n/a' ELSE 'No ' || o_orderkey END AS offer_number, CASE WHEN o_orderkey % 3 = 0 THEN 'RUB' ELSE 'EUR' END AS currency, o_custkey || ',50 EUR' AS total_cost, CAST(o_custkey || '.50' AS DECIMAL(18,2)) AS total_value FROM orders WHERE o_orderkey % 5 = 0""")
+@Q("""SELECT CAST(o_orderdate AS DATE) AS day, 'c' || o_custkey AS "from", CASE WHEN o_orderkey % 2 = 0 THEN 'n/a' ELSE 'No ' || o_orderkey END AS offer_number, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS offer_date, 'c' || o_custkey AS end_user, '' AS end_user_city, '' AS intermediary,
+o_orderpriority AS payment_terms, '' AS delivery_time, '' AS delivery_terms, '' AS valid_until, o_clerk AS issued_by, o_custkey || ',50 EUR' AS total_cost, CASE WHEN o_orderkey % 3 = 0 THEN 'RUB' ELSE 'EUR' END AS currency, CAST(o_orderkey AS VARCHAR) AS thread_id, CAST(o_custkey || '.50' AS DECIMAL(18,2)) AS total_value
+FROM orders WHERE o_orderkey % 5 = 0""".replace("o_clerk", "o_orderstatus"))
 def export_offers(spark, sf):
     o = b.table(spark, sf, "orders")
-    offer = F.struct((F.col("o_orderkey") % 5 == 0).alias("commercial_offer_found"), F.expr("CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE concat('No ', o_orderkey) END").alias("offer_number"), F.expr("CASE WHEN o_orderkey % 3 <> 0 THEN 'EUR' END").alias("currency"), F.concat("o_custkey", F.lit(",50 EUR")).alias("total_cost"))
-    return mail.offer_rows(o.select(F.col("o_orderkey").cast("string").alias("thread_id"), offer.alias("offer")))
+    empty = lambda name: F.lit(None).cast("string").alias(name)
+    day, who = F.to_date("o_orderdate"), F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    offer = F.struct(
+        (F.col("o_orderkey") % 5 == 0).alias("commercial_offer_found"), F.expr("CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE concat('No ', o_orderkey) END").alias("offer_number"), day.cast("string").alias("offer_date"), who.alias("end_user"),
+        *map(empty, ("end_user_city", "intermediary", "delivery_time", "delivery_terms", "valid_until")), F.col("o_orderpriority").alias("payment_terms"), F.col("o_orderstatus").alias("issued_by"),
+        F.concat("o_custkey", F.lit(",50 EUR")).alias("total_cost"), F.expr("CASE WHEN o_orderkey % 3 <> 0 THEN 'EUR' END").alias("currency"),
+    )
+    return mail.offer_rows(o.select(day.alias("day"), who.alias("from"), F.col("o_orderkey").cast("string").alias("thread_id"), offer.alias("offer")))
+
+
+@Q(f"""WITH {b.CONTACTS} SELECT CAST(DATE '2024-01-01' + CAST(ord % 20 AS INTEGER) AS DATE) AS day, coalesce(name, '') AS name, coalesce(email, '') AS email, coalesce(phone, '') AS phone, organization, position, city, coalesce(conf, {_DBL(0)}) AS confidence,
+CASE WHEN ord % 3 = 0 THEN 'high' ELSE 'low' END AS level, 'unknown' AS subject, CAST(ord AS VARCHAR) AS thread_id FROM contacts""")
+def export_contact_table(spark, sf):
+    c = b.contacts(spark, sf).withColumns({"confidence": scoring.confidence(F.col("confidence")), "level": F.expr("CASE WHEN ord % 3 = 0 THEN 'high' END")})
+    one = F.array(F.struct("name", "email", "phone", "organization", "position", "city", "confidence", "level"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("ord") % 20).cast("int"))
+    return mail.contact_table(c.select(day.alias("day"), F.col("ord").cast("string").alias("thread_id"), F.lit(None).cast("string").alias("subject"), one.alias("contacts")))
+
+
+@Q(f"""WITH {b.MAILS}, x AS (SELECT day, doc_id, doc_id % 4 AS k, (doc_id % 101) / {_DBL(100)} AS s FROM mails)
+SELECT day, CAST(sum(k) AS BIGINT) AS total_contacts, CAST(sum(CASE WHEN s >= {_DBL(0.8)} THEN k ELSE 0 END) AS BIGINT) AS high, CAST(sum(CASE WHEN s >= {_DBL(0.6)} AND s < {_DBL(0.8)} THEN k ELSE 0 END) AS BIGINT) AS medium,
+CAST(sum(CASE WHEN s < {_DBL(0.6)} THEN k ELSE 0 END) AS BIGINT) AS low, CAST(sum(doc_id % 3) AS BIGINT) AS total_action_items, count(*) FILTER (doc_id % 5 > 0) AS total_business_contexts, count(*) FILTER (doc_id % 6 = 0) AS total_commercial_offers FROM x GROUP BY day""")
+def day_summary(spark, sf):
+    m = b.mails(spark, sf)
+    contact = F.struct(F.expr("(doc_id % 101) / 100.0D").alias("score"))
+    times = lambda x, n: F.array_repeat(x, (F.col("doc_id") % n).cast("int"))
+    return mail.day_summary(m.select("day", times(contact, 4).alias("contacts"), times(F.lit("call"), 3).alias("actions"), F.when(F.col("doc_id") % 5 > 0, "c").otherwise("").alias("context"), (F.col("doc_id") % 6 == 0).alias("offer_found")))
+
+
+@Q(f"""WITH {b.REQUESTS} SELECT event_id, CASE provider % 3 WHEN 0 THEN CASE WHEN event_id % 2 = 0 THEN 'b' ELSE 'c' END WHEN 1 THEN 'c' END AS next, CASE WHEN event_id % 7 = 0 THEN CASE WHEN event_id % 14 = 0 THEN {_DBL(9)} ELSE {_DBL(60)} END
+ELSE least(power({_DBL(2)}, event_id % 12), {_DBL(300)}) + least(power({_DBL(2)}, event_id % 12), {_DBL(300)}) * ({_DBL(0.1)} + {_DBL(0.4)} * {_DBL(0.5)}) END AS wait FROM requests""")
+def provider_fallback(spark, sf):
+    r = b.requests(spark, sf)
+    order = F.array(*map(F.lit, "abc"))
+    usable = F.expr("CASE WHEN event_id % 2 = 0 THEN array('a', 'b', 'c') ELSE array('c') END")
+    current = F.expr("CASE provider % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END")
+    wait = state.retry_wait(F.col("event_id") % 12, F.lit(0.5), F.expr("CASE WHEN event_id % 7 = 0 THEN 429 ELSE 500 END"), F.expr("CASE WHEN event_id % 14 = 0 THEN ' 9' ELSE 'soon' END"))
+    return r.select("event_id", state.fallback(order, usable, current).alias("next"), wait.alias("wait"))
+
+
+@Q(r"""SELECT page_id, length(trim(x)) AS n, x AS body FROM (SELECT page_id, CASE WHEN length(trim(p)) > 10 THEN p ELSE '' END || CASE WHEN length(trim(p)) > 10 THEN chr(10) ELSE '' END || 'a plain part ' || page_id AS x FROM (SELECT page_id, regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&[a-z]+;', ' ', 'g') AS p FROM pages) y) z""")
+def body_extraction(spark, sf):
+    p = b.table(spark, sf, "pages")
+    part = lambda text, kind, how: F.struct(text.alias("text"), F.lit(kind).alias("kind"), F.lit(how).alias("disposition"))
+    plain = F.concat(F.lit("a plain part "), F.col("page_id").cast("string"))
+    parts = F.array(part(F.col("html"), "text/html", ""), part(plain, "text/plain", ""), part(F.lit("an attached text"), "text/plain", "attachment"), part(F.lit("short"), "text/plain", ""))
+    return p.select("page_id", tx.join_body(parts).alias("body")).select("page_id", F.length(F.trim("body")).cast("long").alias("n"), "body")
+
+
+@Q(r"""SELECT p_partkey, 't' || p_partkey || '_' || strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(p_partkey % 86400 AS INTEGER)), '%H%M%S') || '_' || CASE WHEN p_partkey % 2 = 0 THEN 'inline' ELSE 'attach' END || '_' || regexp_replace(p_name, '[^\p{L}\p{M}\p{Nd}\p{Pc}\s\-\.]', '_', 'g') AS stored,
+regexp_replace(p_name, '[^\p{L}\p{M}\p{N} ._]', '', 'g') AS report, contains(lower(p_name), 'green') AS mentioned FROM part""")
+def stored_names(spark, sf):
+    p = b.table(spark, sf, "part")
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp")) + F.col("p_partkey") % 86400)
+    return p.select("p_partkey", tx.stored_filename(F.concat(F.lit("t"), F.col("p_partkey").cast("string")), at, F.col("p_partkey") % 2 == 0, F.col("p_name")).alias("stored"), tx.report_name(F.col("p_name")).alias("report"), tx.mentions(F.col("p_name"), "GREEN").alias("mentioned"))
+
+
+@Q(f"""WITH {b.ATTACHMENTS} SELECT id, CASE WHEN id % 4 = 0 THEN 'attachment' WHEN id % 4 = 1 AND {_IMG.replace("inline OR ", "")} THEN 'inline' WHEN id % 4 = 2 AND {_IMG.replace("inline OR ", "")} THEN 'attachment' ELSE 'body' END AS role FROM attachments""")
+def part_roles(spark, sf):
+    a = b.attachments(spark, sf)
+    how = F.expr("CASE id % 4 WHEN 0 THEN 'ATTACHMENT; x' WHEN 1 THEN 'inline' WHEN 2 THEN NULL ELSE 'other' END")
+    return a.select("id", fl.part_role(how, F.when(fl.is_image(F.col("name")), "image/png").otherwise("text/plain"), F.col("name")).alias("role"))
+
+
+@Q(f"WITH {b.CONTACTS} SELECT ord, email FROM contacts WHERE NOT ends_with(lower(coalesce(email, '')), '@example.com')")
+def external_contacts(spark, sf):
+    return fl.external_only(b.contacts(spark, sf), "EXAMPLE.com").select("ord", "email")
 
 
 @Q(f"WITH {_DAYS} SELECT day, emails_processed, contacts, offers, errors, {_DBL(100.0)} * (emails_processed - errors) / emails_processed AS success_pct FROM days")

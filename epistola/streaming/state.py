@@ -1,7 +1,8 @@
 """The state machines over a stream of requests, with their state in Spark's state store.
 
 A machine's state is a few numbers for each key. Rows of a key are taken in order of (ts, event_id) within a batch, and batches in the
-order of their arrival.
+order of their arrival; a row that arrives in a later batch than one with a later time is taken after it. To be sorted, a key's rows of one batch
+are held in memory, so a source is to be read with maxFilesPerTrigger or maxBytesPerTrigger, which bound a batch.
 """
 
 from __future__ import annotations

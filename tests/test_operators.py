@@ -45,6 +45,10 @@ def test_phones(spark):
     assert each(spark, tx.normalize_phone, ["8 (916) 555-66-77", "79165556677", None, "+7 916 555 66 77"]) == ["+79165556677", "79165556677", "", "+79165556677"]
     assert each(spark, tx.normalize_phone_strict, ["8-916-555-66-77", "9165556677", "12"]) == ["79165556677", "79165556677", "12"]
     assert each(spark, tx.phone_key, ["+7 (916)", "+7 (9165)", None]) == [None, None, None]
+    got = each(spark, phones.extract_phones, ["8(495)123-45-67 доб. 12", "ext 5 8 916 555 66 77", "+7 (495) 123-45-67 (9), вн. 3", "+7 (495) 123-45-67" + " " * 60 + "доб. 1", "x" * 20_000 + " 8 495 123 45 67"])
+    assert got == [["+7 (495) 123-45-67 (доб. 12)"], ["+7 (916) 555-66-77"], ["+7 (495) 123-45-67 (доб. 3)", "+7 (495) 123-45-09 (доб. 3)"], ["+7 (495) 123-45-67"], ["+7 (495) 123-45-67"]]
+    assert each(spark, lambda c: phones.extract_phones(c, 15_000), ["x" * 20_000 + " 8 495 123 45 67"]) == [[]]
+    assert each(spark, phones.comma_pairs, ["+7(3822) 12-34-56, 65-43-21 and +7 (495) 123-45-67,1234567"]) == [["+7 (3822) 12-34-56", "+7 (3822) 65-43-21", "+7 (495) 123-45-67", "+7 (495) 123-45-67"]]
     assert each(spark, phones.extract_phones, ["call 8(495)123-45-67 or +7 916 555 66 77", "+7(38822) 6-43-63, 6-43-65", None]) == [["+7 (495) 123-45-67", "+7 (916) 555-66-77"], ["+7 (388) 226-43-63", "+7 (388) 226-43-65"], []]
     assert each(spark, phones.extensions, ["доб. 123 ext 9 Доб 123", ""]) == [["доб. 123", "доб. 9"], []]
     assert each(spark, phones.is_mobile, ["+7 (916) 1", "+7 (911) 1", "+7 (935) 1", "+7 (999) 1"]) == [True, False, False, True]
@@ -112,6 +116,14 @@ def test_transitive_dedup_of_the_same_rows(spark, dedup):
     assert {r["ord"]: r["root"] for r in ct.transitive(dedup).collect()} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4}
 
 
+def test_transitive_merge_of_the_same_rows(spark, dedup):
+    got = {r["key"]: r for r in ct.transitive_merged(dedup).collect()}
+    assert sorted(got) == [0, 2, 4] and got[2]["n"] == 2 and got[2]["phone"] == "+7 (916) 555-66-77" and got[2]["other_phones"] == "8-916-555-66-77" and got[2]["name"] == "C Three"
+    bridge = spark.createDataFrame([(0, "A", "a@x.ru", ""), (1, "B", "", "89161112233"), (2, "Long name", "a@x.ru", "89161112233")], "ord long, name string, email string, phone string")
+    row = ct.transitive_merged(bridge.withColumns({c: F.lit("") for c in ("organization", "position", "city")} | {"confidence": F.lit(0.5)})).first()
+    assert (row["key"], row["n"], row["name"], row["email"], row["phone"]) == (0, 3, "Long name", "a@x.ru", "89161112233")
+
+
 def test_greedy_dedup_forgets_dropped_rows(spark):
     rows = spark.createDataFrame([(1, 1, "a@x.ru", "1234567"), (1, 2, "b@x.ru", "1234567"), (1, 3, "b@x.ru", "7654321"), (2, 4, None, None), (2, 5, None, None)], "d int, ord long, email string, phone string")
     assert sorted(r["ord"] for r in ct.greedy(rows, "d").collect()) == [1, 3, 4, 5]
@@ -183,6 +195,8 @@ def test_delay():
     assert state.wait(30, None) == 0 and state.wait(30, 10) == 20
     assert state.next_provider([("a", True), ("b", False), ("c", True)], "a") == "c" and state.next_provider([("a", True)], "a") is None
     assert state.backoff(20) <= 450
+    d = state.Delay(30, 10, 120)
+    assert d.step("unknown") == 30 and d.state() == (30, 0, 0)
 
 
 @settings(max_examples=60, deadline=None)
@@ -258,6 +272,22 @@ def test_mailbox_source(spark, tmp_path):
     spark.dataSource.register(mailbox.MailboxSource)
     rows = spark.read.format("mailbox").option("path", str(tmp_path)).option("first", "2025-07-28").option("last", "2025-07-30").load().collect()
     assert len(rows) == 1 and rows[0]["subject"] == "Привет" and rows[0]["body"].strip() == "hello from the mailbox"
+    heads = spark.read.format("mailbox").option("path", str(tmp_path)).option("first", "2025-07-29").option("last", "2025-07-29").option("headers", "true").load().first()
+    assert heads["subject"] == "Привет" and heads["body"] is None and heads["raw_size"] == rows[0]["raw_size"]
+    assert mailbox.read_message(b"Content-Type: text/html\r\n\r\n<b>hello &amp; welcome</b> to all", "d")[7] == "hello   welcome to all"
+    asked = []
+
+    def shaky(path, day):
+        asked.append(day)
+        for i in range(4):
+            if i == 2 and len(asked) < 3:
+                raise OSError
+            yield b"%d" % i
+
+    reader = mailbox.MailboxReader({"path": "", "first": "2025-07-29", "last": "2025-07-29"}, shaky)
+    assert list(reader._fetched("x")) == [b"0", b"1", b"2", b"3"] and len(asked) == 3
+    with pytest.raises(OSError):
+        list(mailbox.MailboxReader({"path": "", "first": "2025-07-29", "last": "2025-07-29", "attempts": "1"}, lambda p, d: open("/nowhere"))._fetched("x"))
 
 
 def test_files_and_sinks(spark, tmp_path):
@@ -280,6 +310,15 @@ def test_files_and_sinks(spark, tmp_path):
     sinks.write_envelope(rows, str(tmp_path / "env"), "now")
     assert spark.read.json(str(tmp_path / "env")).first()["data"]["a"] == 1
     assert "<td>x</td>" in sinks.html_report(rows, "t")
+    with pytest.raises(ValueError):
+        sinks.html_report(spark.range(5), "t", 4)
+    twice = spark.createDataFrame([("2025-01-01", "m")], "date_folder string, body string")
+    for _ in range(2):
+        sinks.write_mails(twice, str(tmp_path / "mails"))
+    assert spark.read.json(str(tmp_path / "mails")).count() == 1
+    texts = spark.createDataFrame([("2025-01-01", "a", "docx", 1.0, True, "t"), ("2025-01-01", "b", "ocr", 0.0, False, "")], "day string, file_name string, method string, confidence double, success boolean, text string")
+    report = sinks.write_extracted(texts, str(tmp_path / "texts")).first()
+    assert (report["files"], report["successful"], report["pct"], report["confidence"]) == (2, 1, 50.0, 1.0) and spark.read.json(str(tmp_path / "texts")).count() == 1
     assert sinks.first_that_works(rows, lambda r: 1 / 0, lambda r: r.count()) == 1
     stored = spark.createDataFrame([("2025-01-01", "a.pdf")], "date_folder string, original_filename string")
     new = spark.createDataFrame([("2025-01-01", "a.pdf", b"1"), ("2025-01-01", "b.pdf", b"2")], "date_folder string, original_filename string, content binary")
