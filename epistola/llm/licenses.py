@@ -14,8 +14,6 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .url_reputation import LOWER, UPPER
-
 #: The base phrases of the contract and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: Notices by label; whole phrases of common licences.
@@ -50,8 +48,12 @@ _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    """Words of a text with A to Z in lower case: runs of letters, digits and characters beyond ASCII."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), _SEPARATORS), lambda w: w != "")
+    """Lower-case words of a text: runs of letters, digits and characters beyond ASCII.
+
+    Beyond A to Z, `lower` never makes or removes a separator, and the one foreign letter that it turns into a letter of A to Z alone is the sign of the kelvin,
+    which no phrase or notice without a k is touched by; it takes half the time of a translation of A to Z.
+    """
+    return F.filter(F.split(F.lower(text), _SEPARATORS), lambda w: w != "")
 
 
 def grams(w: Column) -> Column:

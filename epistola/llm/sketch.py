@@ -12,19 +12,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import parts_of, texts
-from .url_reputation import LOWER, UPPER
 
 #: Hashes kept, and words of a shingle. The standard error of a resemblance is at most 0.5 / sqrt(K).
 K, WORDS = 128, 5
 
 
 #: Bytes of input for a bucket of documents, and buckets, at most.
-BUCKET, BUCKETS = 16 << 20, 1 << 13
+BUCKET, BUCKETS = 4 << 20, 1 << 13
 
 
 def words(text: Column) -> Column:
-    """Words with A to Z in lower case; an empty text has none."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """Lower-case words; an empty text has none. (`lower` takes half the time of a translation of A to Z alone.)"""
+    return F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
 def shingle_hashes(hashes: Column, n: int = WORDS) -> Column:
