@@ -71,8 +71,19 @@ def cache_date(folder: Column, parsed: Column, raw: Column) -> Column:
     return F.coalesce(F.nullif(folder, F.lit("")), F.nullif(F.split_part(parsed, F.lit("T"), F.lit(1)), F.lit("")), *read, F.regexp_replace(head, r"[./]", "-"))
 
 
+def possible_paths(a: Column, day: Column) -> Column:
+    """Where an attachment may be, likeliest first: its path, its relative path, and the place that its day and stored name give."""
+    return F.array_compact(F.array(a["file_path"], a["relative_path"], F.concat(F.lit("attachments/"), day, F.lit("/"), a["saved_filename"])))
+
+
 def file_path(a: Column, day: Column) -> Column:
-    return F.coalesce(a["file_path"], a["relative_path"], F.concat_ws("/", F.lit("attachments"), day, a["saved_filename"]))
+    return F.get(possible_paths(a, day), F.lit(0))
+
+
+def existing_paths(attachments: DataFrame, key: str, places: Column, stored: DataFrame) -> DataFrame:
+    """(key, path): the first of each attachment's places that stored (path) has; attachments without a file are left out."""
+    tried = attachments.select(key, F.posexplode(places).alias("at", "path"))
+    return tried.join(stored.select("path").distinct(), "path", "left_semi").groupBy(key).agg(F.min_by("path", "at").alias("path"))
 
 
 def extraction_method(name: Column) -> Column:

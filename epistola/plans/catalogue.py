@@ -106,7 +106,7 @@ def json_from_text(spark, sf):
     return b.table(spark, sf, "events").select("event_id", F.get_json_object(tx.clean_answer(answer), "$.k").alias("k"))
 
 
-@Q(r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '[.!?]*([.!?]){2}', '\1', 'g')) AS clean FROM documents".replace("[.!?]*([.!?]){2}", "[.!?]+([.!?])"))
+@Q(r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '[.!?]+([.!?])', '\1', 'g')) AS clean FROM documents")
 def ocr_cleanup(spark, sf):
     return b.table(spark, sf, "documents").select("doc_id", tx.clean_ocr(F.col("text")).alias("clean"))
 
@@ -121,8 +121,8 @@ def _quality(spark, sf):
     return d.select("doc_id", F.col("lang").alias("file_type"), "method", scoring.text_quality(F.col("text"), F.col("method")).alias("q"))
 
 
-@Q(f"""WITH {_QUALITY} SELECT doc_id, method, round(s, 2) AS score, CASE WHEN s >= 0.8 THEN 'excellent' WHEN s >= 0.6 THEN 'good' WHEN s >= 0.4 THEN 'fair' WHEN s >= 0.2 THEN 'poor' ELSE 'failed' END AS level,
-CAST(len AS BIGINT) AS length, useful FROM scored""".replace("s >= 0.", "s >= CAST(0.").replace(" THEN 'excellent'", " AS DOUBLE) THEN 'excellent'").replace("0.8 AS DOUBLE)", "0.8 AS DOUBLE)").replace("0.6 THEN", "0.6 AS DOUBLE) THEN").replace("0.4 THEN", "0.4 AS DOUBLE) THEN").replace("0.2 THEN 'poor'", "0.2 AS DOUBLE) THEN 'poor'"))
+@Q(f"""WITH {_QUALITY} SELECT doc_id, method, round(s, 2) AS score, CASE WHEN s >= CAST(0.8 AS DOUBLE) THEN 'excellent' WHEN s >= CAST(0.6 AS DOUBLE) THEN 'good' WHEN s >= CAST(0.4 AS DOUBLE) THEN 'fair' WHEN s >= CAST(0.2 AS DOUBLE) THEN 'poor' ELSE 'failed' END AS level,
+CAST(len AS BIGINT) AS length, useful FROM scored""")
 def text_quality(spark, sf):
     return _quality(spark, sf).select("doc_id", "method", "q.score", "q.level", F.col("q.length").cast("long").alias("length"), "q.useful")
 
@@ -334,10 +334,10 @@ def contacts_merge(spark, sf):
 
 
 @Q(f"""WITH RECURSIVE {b.CONTACTS}, g AS (SELECT ord, ord % 60 AS doc, nullif({_E}, '') AS e, CASE WHEN length(regexp_replace(coalesce(phone, ''), '[\\s\\-()+]', '', 'g')) > 6 THEN regexp_replace(phone, '[\\s\\-()+]', '', 'g') END AS p, row_number() OVER (PARTITION BY ord % 60 ORDER BY ord) AS rn FROM contacts),
-f AS (SELECT doc, CAST(0 AS BIGINT) AS rn, CAST([] AS VARCHAR[]) AS es, CAST([] AS VARCHAR[]) AS ps, CAST(NULL AS BIGINT) AS kept
+f AS (SELECT DISTINCT doc, CAST(0 AS BIGINT) AS rn, CAST([] AS VARCHAR[]) AS es, CAST([] AS VARCHAR[]) AS ps, CAST(NULL AS BIGINT) AS kept FROM g
  UNION ALL SELECT g.doc, g.rn, CASE WHEN seen OR g.e IS NULL THEN f.es ELSE list_append(f.es, g.e) END, CASE WHEN seen OR g.p IS NULL THEN f.ps ELSE list_append(f.ps, g.p) END, CASE WHEN seen THEN NULL ELSE g.ord END
  FROM f JOIN g ON g.doc = f.doc AND g.rn = f.rn + 1, LATERAL (SELECT coalesce(list_contains(f.es, g.e), false) OR coalesce(list_contains(f.ps, g.p), false) AS seen) s)
-SELECT DISTINCT doc, kept AS ord FROM f WHERE kept IS NOT NULL""".replace("f AS (SELECT doc, CAST(0", "f AS (SELECT DISTINCT doc, CAST(0").replace("AS kept\n UNION ALL", "AS kept FROM g\n UNION ALL"))
+SELECT DISTINCT doc, kept AS ord FROM f WHERE kept IS NOT NULL""")
 def contacts_greedy_dedup(spark, sf):
     return ct.greedy(b.contacts(spark, sf).withColumn("doc", F.col("ord") % 60), "doc")
 
@@ -582,8 +582,8 @@ def export_contacts_flat(spark, sf):
 
 
 @Q("""SELECT CAST(o_orderdate AS DATE) AS day, 'c' || o_custkey AS "from", CASE WHEN o_orderkey % 2 = 0 THEN 'n/a' ELSE 'No ' || o_orderkey END AS offer_number, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS offer_date, 'c' || o_custkey AS end_user, '' AS end_user_city, '' AS intermediary,
-o_orderpriority AS payment_terms, '' AS delivery_time, '' AS delivery_terms, '' AS valid_until, o_clerk AS issued_by, o_custkey || ',50 EUR' AS total_cost, CASE WHEN o_orderkey % 3 = 0 THEN 'RUB' ELSE 'EUR' END AS currency, CAST(o_orderkey AS VARCHAR) AS thread_id, CAST(o_custkey || '.50' AS DECIMAL(18,2)) AS total_value
-FROM orders WHERE o_orderkey % 5 = 0""".replace("o_clerk", "o_orderstatus"))
+o_orderpriority AS payment_terms, '' AS delivery_time, '' AS delivery_terms, '' AS valid_until, o_orderstatus AS issued_by, o_custkey || ',50 EUR' AS total_cost, CASE WHEN o_orderkey % 3 = 0 THEN 'RUB' ELSE 'EUR' END AS currency, CAST(o_orderkey AS VARCHAR) AS thread_id, CAST(o_custkey || '.50' AS DECIMAL(18,2)) AS total_value
+FROM orders WHERE o_orderkey % 5 = 0""")
 def export_offers(spark, sf):
     o = b.table(spark, sf, "orders")
     empty = lambda name: F.lit(None).cast("string").alias(name)
@@ -683,15 +683,21 @@ def day_results(spark, sf):
     return mail.day_results(c.withColumn("score", F.col("confidence"))).select("day", "contacts", "high", ids("top_contacts"), ids("top_offers"))
 
 
-@Q(f"""WITH {b.REQUESTS}, d AS ({SQL["rate_limit_replay"].replace("WITH RECURSIVE", "WITH RECURSIVE")}), r AS (SELECT *, row_number() OVER (PARTITION BY provider ORDER BY event_id DESC) AS back FROM d)
+@Q(f"""WITH {b.REQUESTS}, d AS ({SQL["rate_limit_replay"]}), r AS (SELECT *, row_number() OVER (PARTITION BY provider ORDER BY event_id DESC) AS back FROM d)
 SELECT provider, count(*) AS total, avg(CASE WHEN outcome = 'success' THEN {_DBL(1)} ELSE {_DBL(0)} END) FILTER (back <= 10) AS success_rate, round(avg(delay_used) FILTER (back <= 10), 9) AS mean_delay FROM r WHERE back <= 50 GROUP BY provider""")
 def request_stats(spark, sf):
     return rollups.request_stats(state.delays(b.requests(spark, sf)), "provider").withColumn("mean_delay", F.round("mean_delay", 9))
 
 
-@Q("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'no business_context,no actions' WHEN 2 THEN 'no contacts,no business_context,no actions' ELSE 'empty contact' END AS errors FROM events""")
+_ANSWERS = """CASE event_id % 4 WHEN 0 THEN '{"contacts":[{"name":"a"}],"business_context":{"urgency":"x"},"action_items":"y"}' WHEN 1 THEN 'text {"contacts":[]}' WHEN 2 THEN 'none' ELSE '{"contacts":[{"city":"x"}],"business_context":"c","recommended_actions":"y"}' END"""
+
+
+@Q(f"""WITH raw AS (SELECT event_id, CAST(nullif(regexp_extract({_ANSWERS}, '(?s)(\\{{.*\\}})', 1), '') AS JSON) AS j FROM events),
+a AS (SELECT event_id, j->'$.contacts' AS c, coalesce(j->>'$.business_context', '') AS context, coalesce(j->>'$.action_items', j->>'$.recommended_actions', '') AS actions FROM raw),
+e AS (SELECT *, len(list_filter(CAST(c AS JSON[]), lambda x: coalesce(x->>'$.name', '') = '' AND coalesce(x->>'$.email', '') = '' AND coalesce(x->>'$.phone', '') = '')) > 0 AS hollow FROM a)
+SELECT event_id, concat_ws(',', CASE WHEN c IS NULL THEN 'no contacts' END, CASE WHEN context = '' THEN 'no business_context' END, CASE WHEN actions = '' THEN 'no actions' END, CASE WHEN hollow THEN 'empty contact' END) AS errors FROM e""")
 def answer_validation(spark, sf):
-    raw = F.expr("""CASE event_id % 4 WHEN 0 THEN '{"contacts":[{"name":"a"}],"business_context":{"urgency":"x"},"action_items":"y"}' WHEN 1 THEN 'text {"contacts":[]}' WHEN 2 THEN 'none' ELSE '{"contacts":[{"city":"x"}],"business_context":"c","recommended_actions":"y"}' END""")
+    raw = F.expr(_ANSWERS)
     e = b.table(spark, sf, "events").select("event_id", ct.parse_answer(raw).alias("a"))
     return e.select("event_id", F.array_join(ct.answer_errors(F.col("a")), ",").alias("errors"))
 

@@ -10,9 +10,13 @@ from .schemas import MAIL
 EXTENSIONS = "*.{pdf,doc,docx,xls,xlsx,png,jpg,jpeg,tiff}"
 
 
-def mails(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Mail records below path/date_folder=YYYY-MM-DD; a range prunes folders. Files that aren't JSON are left out."""
-    rows = spark.read.schema(f"{MAIL}, date_folder date").option("multiLine", True).option("mode", "DROPMALFORMED").json(path, pathGlobFilter="email_*.json")
+def mails(spark: SparkSession, path: str, first: str | None = None, last: str | None = None, lines: bool = False) -> DataFrame:
+    """Mail records below path/date_folder=YYYY-MM-DD; a range prunes folders. Files that aren't JSON are left out.
+
+    A file is one mail, or with `lines` what `sinks.write_mails` writes, a mail in each line.
+    """
+    reader = spark.read.schema(f"{MAIL}, date_folder date").option("multiLine", not lines).option("mode", "DROPMALFORMED")
+    rows = reader.json(path, pathGlobFilter="*.json" if lines else "email_*.json")
     if first is not None:
         rows = rows.where(F.col("date_folder") >= F.lit(first).cast("date"))
     if last is not None:
@@ -21,7 +25,9 @@ def mails(spark: SparkSession, path: str, first: str | None = None, last: str |
 
 
 def days(spark: SparkSession, path: str) -> DataFrame:
-    return mails(spark, path).select("date_folder").distinct().orderBy("date_folder")
+    """The days that there are mails of, in order, from the listing alone: no file is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+    return listed.select(F.col("date_folder").cast("date").alias("date_folder")).distinct().orderBy("date_folder")
 
 
 def rules(spark: SparkSession, path: str, lower: bool = True) -> list[str]:

@@ -10,15 +10,20 @@ from pyspark.sql import functions as F
 from ..operators.components import settle
 
 
+def by_folder(rows: DataFrame, column: str) -> DataFrame:
+    """Rows brought together by a folder's column, so that a folder isn't given a file by every task; AQE splits a folder that is too large for one."""
+    return rows.hint("rebalance", column)
+
+
 def write_mails(mails: DataFrame, path: str) -> None:
     """Mails by day. The days of this run replace what was there of them, so that a run which is repeated leaves no mail twice."""
-    mails.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_folder").json(path)
+    by_folder(mails, "date_folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_folder").json(path)
 
 
 def write_extracted(texts: DataFrame, path: str) -> DataFrame:
     """Writes the extracted texts (day, file_name, method, confidence, success, text) by day, and returns the report of each day: files, successes, their share and mean confidence."""
     texts = settle(texts, "extracted")
-    texts.where("success").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").json(path)
+    by_folder(texts.where("success"), "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").json(path)
     ok = F.count_if("success").cast("long")
     return texts.groupBy("day").agg(F.count(F.lit(1)).alias("files"), ok.alias("successful"), F.try_divide(ok * F.lit(100.0), F.count(F.lit(1))).alias("pct"), F.avg(F.when(F.col("success"), F.col("confidence"))).alias("confidence"))
 
@@ -27,7 +32,7 @@ def write_new_attachments(files: DataFrame, manifest: DataFrame, path: str) -> D
     """Stores the files (date_folder, original_filename, content) that the manifest lacks, and returns what was stored."""
     new = files.join(manifest.select("date_folder", "original_filename").distinct(), ["date_folder", "original_filename"], "left_anti")
     new = settle(new, "new-attachments")  # worked out once, for the store and for the list
-    new.write.mode("append").partitionBy("date_folder").parquet(path)
+    by_folder(new, "date_folder").write.mode("append").partitionBy("date_folder").parquet(path)
     return new.select("date_folder", "original_filename")
 
 
@@ -76,6 +81,6 @@ def write_tabs(tabs: dict[str, DataFrame], path: str) -> None:
 def export_range(spine: DataFrame, results: DataFrame, path: str) -> DataFrame:
     """Writes the results of a range of days, by day, and tells for each day whether there were any."""
     wanted = settle(results.join(spine, "day", "left_semi"), "export-range")
-    wanted.write.mode("overwrite").partitionBy("day").json(path)
+    by_folder(wanted, "day").write.mode("overwrite").partitionBy("day").json(path)
     found = wanted.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
     return spine.join(found, "day", "left").select("day", F.coalesce("rows", F.lit(0)).alias("rows"), F.col("rows").isNotNull().alias("ok"))

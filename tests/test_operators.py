@@ -15,7 +15,7 @@ from epistola.operators import contacts as ct
 from epistola.operators import filters as fl
 from epistola.operators import joins, mail, rollups, scoring, state
 from epistola.operators.components import components
-from epistola.sources import files, mailbox, office, sinks
+from epistola.sources import config, files, mailbox, office, sinks
 
 DEDUP = [
     (0, "A One", "a.one@example.com", "+7 (495) 123-45-67", 'Org "X"', "Manager", 0.9),
@@ -349,3 +349,25 @@ def test_sections_and_range_export(spark, tmp_path):
     sinks.write_tabs({"a": results}, str(tmp_path / "tabs"))
     sinks.write_tabs({"a": results}, str(tmp_path / "tabs"))
     assert spark.read.csv(str(tmp_path / "tabs/a"), header=True).count() == 4
+
+
+def test_prompts_and_providers(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        config.prompt(spark, str(tmp_path / "none.txt"))
+    (tmp_path / "p.txt").write_text("\n Say who wrote.\nIn JSON. \n")
+    assert config.prompt(spark, str(tmp_path / "p.txt")) == "Say who wrote.\nIn JSON."
+    (tmp_path / "bad.json").write_text("{")
+    for path in ("none.json", "bad.json"):
+        assert [(r["provider"], r["active"], r["failures_to_skip"]) for r in config.providers(spark, str(tmp_path / path), {"b": "k"}, ("a", "b")).collect()] == [("a", False, 3), ("b", True, 3)]
+    (tmp_path / "good.json").write_text('{"provider_order": ["a", "b", "c"], "provider_settings": {"c": {"priority": 1, "retry_delay_seconds": 9}, "a": {"priority": 2}}}')
+    got = config.providers(spark, str(tmp_path / "good.json"), {"a": "", "c": "k"})
+    assert [(r["provider"], r["priority"], r["retry_seconds"], r["active"]) for r in got.collect()] == [("c", 1, 9.0, True), ("a", 2, 5.0, False), ("b", 4, 5.0, False)]
+    failed = {1: [True, False, False], 3: [False, False, False]}
+    for n, want in failed.items():
+        assert [r["ok"] for r in got.select(config.usable(F.lit(n)).alias("ok")).collect()] == want
+
+
+def test_paths_that_exist(spark):
+    a = spark.createDataFrame([(1, ("x", "y", "z")), (2, (None, "y", None)), (3, ("n", None, "n")), (4, (None, None, None))], "id int, a struct<file_path:string,relative_path:string,saved_filename:string>")
+    stored = spark.createDataFrame([("y",), ("y",), ("attachments/d/n",)], "path string")
+    assert sorted(map(tuple, mail.existing_paths(a, "id", mail.possible_paths(F.col("a"), F.lit("d")), stored).collect())) == [(1, "y"), (2, "y"), (3, "attachments/d/n")]
