@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import ordinals
+
 
 def unseen(rows: DataFrame, stored: DataFrame, *keys: str) -> DataFrame:
     """Rows whose keys aren't stored yet."""
@@ -42,10 +44,10 @@ def first_of(left: DataFrame, tables, rules: list[list[str]], value: str) -> Dat
     return left.withColumns({"rule": rule, value: F.coalesce(*hits)}).where("rule is not null")
 
 
-def numbered(rows: DataFrame, by: str, *order) -> DataFrame:
-    return rows.withColumn("n", F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("long"))
+numbered = ordinals.numbered
 
 
 def limited(rows: DataFrame, by: str, most: int | None, *order) -> DataFrame:
     """The first `most` rows of each group; all without a limit. Spark keeps no more than that of a group in each task before the shuffle."""
-    return rows if most is None else numbered(rows, by, *order).where(F.col("n") <= most)
+    place = F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("long")
+    return rows if most is None else rows.withColumn("n", place).where(F.col("n") <= most)

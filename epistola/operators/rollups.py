@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from . import ordinals
 from .scoring import band
 
 
@@ -114,15 +115,12 @@ def provider_health(providers: DataFrame) -> DataFrame:
 
 def last_rates(events: DataFrame, key: str, n: int = 10) -> DataFrame:
     """Success rate over the last n requests of each key, this one included."""
-    w = Window.partitionBy(key).orderBy("ts", "event_id").rowsBetween(-(n - 1), 0)
-    return events.withColumn("rate", F.avg(F.col("ok").cast("double")).over(w))
+    return ordinals.over_last(events, key, ("ts", "event_id"), "rate", F.avg(F.col("ok").cast("double")), n)
 
 
 def streaks(events: DataFrame, key: str) -> DataFrame:
     """Place of each request in its run of equal outcomes."""
-    w = Window.partitionBy(key).orderBy("ts", "event_id")
-    turned = events.withColumn("run", F.sum(F.coalesce((F.col("ok") != F.lag("ok").over(w)).cast("int"), F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return turned.withColumn("streak", F.row_number().over(Window.partitionBy(key, "run").orderBy("ts", "event_id")).cast("long")).drop("run")
+    return ordinals.run_places(events, key, ("ts", "event_id"), "streak", "ok")
 
 
 def request_stats(delays: DataFrame, key: str, n: int = 10, kept: int = 50) -> DataFrame:

@@ -501,7 +501,7 @@ def last10_success_rate(spark, sf):
     return rollups.last_rates(b.requests(spark, sf), "provider").select("event_id", "rate")
 
 
-@Q(f"""WITH {b.REQUESTS}, t AS (SELECT *, CASE WHEN ok = lag(ok) OVER w THEN 0 ELSE 1 END AS c FROM requests WINDOW w AS (PARTITION BY provider ORDER BY ts, event_id)), r AS (SELECT *, sum(c) OVER (PARTITION BY provider ORDER BY ts, event_id) AS run FROM t)
+@Q(f"""WITH {b.REQUESTS}, t AS (SELECT *, CASE WHEN ok IS NOT DISTINCT FROM lag(ok) OVER w THEN 0 ELSE 1 END AS c FROM requests WINDOW w AS (PARTITION BY provider ORDER BY ts, event_id)), r AS (SELECT *, sum(c) OVER (PARTITION BY provider ORDER BY ts, event_id) AS run FROM t)
 SELECT event_id, ok, row_number() OVER (PARTITION BY provider, run ORDER BY ts, event_id) AS streak FROM r""")
 def error_streaks(spark, sf):
     return rollups.streaks(b.requests(spark, sf), "provider").select("event_id", "ok", "streak")
