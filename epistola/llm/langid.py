@@ -24,6 +24,8 @@ SAMPLE, SAMPLE_BYTES = 750, 1 << 19
 #: Words of a stretch in training, stretches of a mixed sequence; rows of the weight table.
 STRETCH, MIXED, TABLE = 24, 4, 1 << 16
 ROUNDS, STEP, RIDGE = 25, 0.4, 1e-7
+#: A text is in no learned language if its words' mean margin, this many standard errors up, is below this share of what is usual in its language.
+KNOWN, ERRORS = 0.4, 2.0
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 _SHIFT = np.uint64(64 - 16)
 
@@ -71,25 +73,46 @@ def emissions(weights: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: n
     return out
 
 
+def margins(scores: np.ndarray) -> np.ndarray:
+    """By how much each word's best language leads the second: what tells languages, not which one, so that code-switched words count as known."""
+    top = np.partition(scores, scores.shape[1] - 2, axis=1)
+    return top[:, -1] - top[:, -2]
+
+
 class Model:
-    """languages: sorted; weights, trans, start as fitted. With fewer than two languages the only one is always the answer."""
+    """languages: sorted; weights, trans, start as fitted. With fewer than two languages the only one is always the answer.
+
+    usual, spread: each language's median of its stretches' mean margins, and its words' standard deviation of margins.
+    """
 
-    def __init__(self, langs: list[str], weights=None, trans=None, start=None):
-        self.langs, self.weights, self.trans, self.start = langs, weights, trans, start
+    def __init__(self, langs: list[str], weights=None, trans=None, start=None, usual=None, spread=None):
+        self.langs, self.weights, self.trans, self.start, self.usual, self.spread = langs, weights, trans, start, usual, spread
 
-    def marginals(self, data: np.ndarray, offsets: np.ndarray):
-        """Word spans, words before each text, and each word's language marginals."""
+    def _read(self, data: np.ndarray, offsets: np.ndarray):
+        """Word spans, words before each text, each word's language marginals, and its margin."""
         starts, ends, before = spans(data, offsets, LETTERS)
         if len(self.langs) < 2:
-            return starts, ends, before, np.ones((len(starts), len(self.langs)))
-        return starts, ends, before, crf.forward_backward(emissions(self.weights, data, starts, ends), before, self.trans, self.start)
+            return starts, ends, before, np.ones((len(starts), len(self.langs))), np.zeros(len(starts))
+        scores = emissions(self.weights, data, starts, ends)
+        return starts, ends, before, crf.forward_backward(scores, before, self.trans, self.start), margins(scores)
 
-    def predict(self, data: np.ndarray, offsets: np.ndarray, strings) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, share of it and number of switches of each text; strings(i) gives a text where its bytes don't show a letter."""
+    def marginals(self, data: np.ndarray, offsets: np.ndarray):
+        """Word spans, words before each text, and each word's language marginals."""
+        return self._read(data, offsets)[:4]
+
+    def familiar(self, best: np.ndarray, margin: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Whether each text's words part the learned languages as words of its best one do. Few words prove nothing, so short texts pass."""
+        if self.usual is None:
+            return np.ones(len(best), bool)
+        n = np.maximum(np.diff(before), 1)
+        return sums(margin, before) / n + ERRORS * self.spread[best] / np.sqrt(n) >= KNOWN * self.usual[best]
+
+    def predict(self, data: np.ndarray, offsets: np.ndarray, strings) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, share of it, number of switches and familiarity of each text; strings(i) gives a text where its bytes don't show a letter."""
         rows = len(offsets) - 1
         if not self.langs:
-            return ["und"] * rows, np.zeros(rows), np.zeros(rows, np.int64)
-        starts, ends, before, gamma = self.marginals(data, offsets)
+            return ["und"] * rows, np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, bool)
+        starts, ends, before, gamma, margin = self._read(data, offsets)
         share = np.stack([sums(gamma[:, j] * (ends - starts), before) for j in range(len(self.langs))], axis=1)
         whole = share.sum(axis=1)
         best = share.argmax(axis=1)
@@ -99,7 +122,7 @@ class Model:
         turn[before[:-1][np.diff(before) > 0]] = False
         plain = sums(LETTERS[data] & (data < 128), offsets) > 0 if len(data) else np.zeros(rows, bool)
         known = [bool(plain[i]) or (whole[i] > 0 and any(c.isalpha() for c in strings(i))) for i in range(rows)]
-        return [self.langs[b] if k else "und" for b, k in zip(best.tolist(), known, strict=True)], np.where(known, score, 0.0), sums(turn, before).astype(np.int64)
+        return [self.langs[b] if k else "und" for b, k in zip(best.tolist(), known, strict=True)], np.where(known, score, 0.0), sums(turn, before).astype(np.int64), self.familiar(best, margin, before)
 
 
 def labelled_texts(docs: DataFrame, sample: int, sample_bytes: int, folds: int, held_out: int) -> list[tuple[str, bytes]]:
@@ -154,7 +177,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
     word = np.concatenate([np.repeat(np.arange(len(starts)), fixed.shape[1]), owner])
     grad = lambda r: np.stack([np.bincount(flat, r[word, j], TABLE) for j in range(k)], axis=1)
     weights, trans, start = crf.fit(lambda w: emissions(w, data, starts, ends), grad, np.zeros((TABLE, k)), y, offsets, np.ones(len(y)), k, ROUNDS, STEP, RIDGE)
-    return Model(langs, weights, trans, start)
+    margin = margins(emissions(weights, data, starts, ends))
+    size = np.diff(before)
+    of, mean = np.array(labels)[deal][size > 0], (sums(margin, before) / np.maximum(size, 1))[size > 0]
+    usual = np.array([np.median(mean[of == j]) if (of == j).any() else 0.0 for j in range(k)])
+    spread = np.array([margin[y == j].std() if (y == j).any() else 0.0 for j in range(k)])
+    return Model(langs, weights, trans, start, usual, spread)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -170,18 +198,21 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for batch in bounded_batches(batches):
             text = batch.column(1)
-            langs, score, turns = m.predict(*raw_text(text), lambda i, t=text: t[i].as_py())
+            langs, score, turns, _ = m.predict(*raw_text(text), lambda i, t=text: t[i].as_py())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score), pa.array(turns)], names=["doc_id", "lang_pred", "score", "n_switches"])
 
     return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, n_switches long")
 
 
 def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of docs with a language, at least `least` of whose text is in it, all columns; null texts and texts without a letter go."""
+    """The rows of docs with a language, at least `least` of whose text is in it, all columns.
+
+    Null texts and texts without a letter go, and texts in a language that wasn't learned: those whose words hardly part the learned ones (`Model.familiar`), if there
+    are two or more and the text has words enough to tell. A text that switches between learned languages is familiar."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
     def passes(column):
-        langs, score, _ = shared.value.predict(*raw_text(column), lambda i: column[i].as_py())
-        return (np.array(langs) != "und") & (score >= least)
+        langs, score, _, familiar = shared.value.predict(*raw_text(column), lambda i: column[i].as_py())
+        return (np.array(langs) != "und") & (score >= least) & familiar
 
     return filter_rows(docs, passes)

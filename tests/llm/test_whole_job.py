@@ -140,6 +140,11 @@ def test_samples_are_bounded_and_whole(spark):
 # op9
 
 
+@pytest.fixture(scope="module")
+def docs_01(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
 def test_each_row_teaches_its_own_language(spark):
     r = random.Random(4)
     fr, en, xx = (["".join(r.choice(c) for _ in range(r.randint(3, 8))) for _ in range(300)] for c in ("aeioulmn", "bcdfghk", "pqrstvwxyz"))
@@ -156,6 +161,20 @@ def test_each_row_teaches_its_own_language(spark):
     assert only.langs == ["fr", "xx"]
 
 
+def test_texts_in_no_learned_language_go(spark, docs_01):
+    model = langid.fit(docs_01)
+    alien = [
+        "Το γρήγορο αλεπού πηδάει πάνω από το τεμπέλικο σκυλί και τρέχει μακριά στο δάσος όπου μένει με τα παιδιά της όλο τον χειμώνα", "Szybki brązowy lis przeskakuje nad leniwym psem i ucieka daleko do ciemnego lasu gdzie mieszka " * 20,
+        "Быстрая коричневая лиса прыгает через ленивую собаку и убегает далеко в тёмный лес " * 3, "A gyors barna róka átugrik a lusta kutya felett és messzire fut az erdőbe ahol lakik " * 20,
+    ]
+    by = {r["lang"]: " ".join(r["text"].split()[:80]) for r in docs_01.where("n_chars > 800").collect()}
+    switched = [" ".join(by.values()), by["de"] + " " + by["fr"]]
+    rows = [(i, t) for i, t in enumerate(alien + switched + [by["es"], "Hola", "Ναι"])]  # one word proves nothing
+    assert {r["doc_id"] for r in langid.keep(spark.createDataFrame(rows, DOC), model, 0.2).collect()} == set(range(4, 9))
+    clean = docs_01.where("lang is not null and text rlike '[a-z]'")
+    assert langid.keep(clean, model, 0.3).count() >= 0.998 * clean.count()
+
+
 # op10
 
 
