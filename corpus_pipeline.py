@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes eac
 hands it, read again, to the next. All stages but the last return the columns of documents. Stages decide on whole texts:
 
 * toxicity drops the rows that the trees score 0.5 or more; a null or empty text is not toxic;
-* language drops the rows without a letter (`und`) and those of which no learned language covers MIN_SHARE;
+* language drops the rows without a letter (`und`), those of which no learned language covers MIN_SHARE, and those in a language that wasn't learned;
 * near_duplicates keeps one row of each group of texts linked by a Jaccard similarity of 0.8 or more of their five-word shingles, that with the smallest doc_id;
 * decontaminate drops the rows that hold a verified benchmark passage;
 * encode returns the kept rows' ids, languages and token ids, and the SHA-256 of the bytes that these decode to.
