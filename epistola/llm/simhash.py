@@ -12,7 +12,9 @@ Near copies (`keep_one`) take the same index with a wide radius. Texts of a Jacc
 lie about 20 of 128 bits apart and at most WIDE, which is too far for blocks to agree for certain; shards are then random choices of bits, as many as let RECALL of the
 pairs at the very threshold meet in one, and more of those that are closer. Near pairs of a shard are only candidates: a link is a pair whose texts pass when compared
 shingle by shingle. A forest of the candidates of a few choices is compared first, which joins large groups at a link or two for each text; then texts that have
-a candidate outside their group in any shard are brought there, and all such candidates are compared until none is left between two groups.
+a candidate outside their group in any shard are brought there, and all such candidates are compared until none is left between two groups. A pair
+counts as a candidate only if its sizes and sketches (`sketches`) leave room for LEAST, which refuses no pair that would pass: else the texts of a large family that are
+too far from all others for a link would be compared with every one of it, shingle by shingle.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ PAIRS = 1 << 21
 #: first round; shingles of a chunk, from which on a shard is dealt into chunks too.
 SHINGLE, LEAST, WIDE_BITS, WIDE, STEPS = 5, 0.8, 128, 32, (8, 16, 24, 32)
 RECALL, BUCKET, FIRST, HEAVY = 0.99, 1024, 2, 1 << 21
+#: Words of 64 bits of a sketch that goes with a fingerprint, and of one made in a group, at most; pairs whose sketches are compared at once.
+SKETCH, LONGEST, PORTION = 4, 256, 1 << 16
 _U = np.uint64
 
 
@@ -238,10 +242,11 @@ _GROUP = ["part", "choice", "key", "i", "j"]
 
 def deal(codes: DataFrame, n: int, choices: list[list[int]], shard: int = SHARD, large: int = LARGE) -> tuple[DataFrame, int]:
     """The rows of codes (node, joined, size, fp0, fp1, ...) in every group that they are searched in, and the number of parts that the groups are dealt to.
+    Where codes have sketches (mark0, mark1, ...), the rows keep these and their size.
 
     A group is a shard, or of a shard with more than `large` rows or HEAVY sizes a chunk (i = j) or a pair of chunks, of which `own` is the row's.
     """
-    words = [c for c in codes.columns if c.startswith("fp")]
+    words, marks = ([c for c in codes.columns if c.startswith(kind)] for kind in ("fp", "mark"))
     depth = max(0, math.ceil(math.log2(max(1, n / shard))))
     keys = []
     for positions in choices:
@@ -249,7 +254,7 @@ def deal(codes: DataFrame, n: int, choices: list[list[int]], shard: int = SHARD,
         for i, p in enumerate(positions[: min(depth, len(positions))]):
             key = key + F.shiftleft(F.shiftrightunsigned(words[p // 64], p % 64).bitwiseAND(F.lit(1).cast("long")), i)
         keys.append(key)
-    dealt = codes.select("node", "joined", "size", *words, F.posexplode(F.array(*keys)).alias("choice", "key"))
+    dealt = codes.select("node", "joined", "size", *words, *marks, F.posexplode(F.array(*keys)).alias("choice", "key"))
     counts = dealt.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all"))
     counts = counts.where((F.col("n") > large) | (F.col("all") > HEAVY)).select("choice", "key", F.greatest(F.ceil(F.col("n") / (large // 2)), F.ceil(F.col("all") / HEAVY)).cast("int").alias("chunks"))
     counts = settle(counts, "simhash-chunked")  # of the large shards only; Spark sees its size, and broadcasts it if it is small
@@ -259,7 +264,7 @@ def deal(codes: DataFrame, n: int, choices: list[list[int]], shard: int = SHARD,
     parts = max(1, math.ceil(n * len(choices) / SHARD))
     number = F.col("choice") * F.lit(1 << min(depth, 30)) + F.col("key")
     part = F.pmod(F.when(F.col("chunks") == 1, number).otherwise(F.xxhash64("choice", "key", "tile.i", "tile.j")), F.lit(parts)).cast("int")
-    return chunked.select("*", F.explode(tiles).alias("tile")).select(part.alias("part"), "choice", "key", "tile.i", "tile.j", own.alias("own"), "node", "joined", *words), parts
+    return chunked.select("*", F.explode(tiles).alias("tile")).select(part.alias("part"), "choice", "key", "tile.i", "tile.j", own.alias("own"), "node", "joined", *words, *(["size", *marks] if marks else [])), parts
 
 
 def _codes(table: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
@@ -308,6 +313,9 @@ def near_duplicates(docs: DataFrame, most: int = MAX_DIFF, n: int = WORDS) -> Da
 _PLACES = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 62, SHINGLE + 1, dtype=np.uint64) * _U(2) + _U(1)
 
 
+_MARKS = [f"mark{i}" for i in range(SKETCH)]
+
+
 def shingles(h: np.ndarray) -> np.ndarray:
     """The sorted set of shingle hashes of a text's word hashes; a shorter text is one shingle, no words none."""
     n = len(h) - SHINGLE + 1
@@ -335,14 +343,40 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def sketches(held: list[np.ndarray], words: int) -> np.ndarray:
+    """(sets, words) of 64 bits, `words` a power of 2: each bit tells whether an odd number of a set's hashes falls on it.
+
+    What two sets share cancels out, so their sketches differ in no more bits than the sets in hashes.
+    """
+    out, shift = np.zeros((len(held), words), np.uint64), _U(64 - (64 * words - 1).bit_length())
+    for row, s in zip(out, held, strict=True):
+        row[:] = np.packbits((np.bincount((s >> shift).astype(np.int64), minlength=64 * words) & 1).astype(np.uint8), bitorder="little").view("<u8")
+    return out
+
+
+def alike(a: np.ndarray, b: np.ndarray, size: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Which pairs of places may have a similarity of LEAST, by their sets' sizes and sketches: all that have it, and some that don't.
+
+    Sets of that similarity differ in (1 - LEAST) / (1 + LEAST) of their sizes' sum at most.
+    """
+    x, y = size[a], size[b]
+    may = np.flatnonzero(np.minimum(x, y) >= LEAST * np.maximum(x, y))
+    a, b, most, apart = a[may], b[may], (x + y)[may] * ((1 - LEAST) / (1 + LEAST)) + 1e-6, np.zeros(len(may), np.int32)
+    for mark in marks.T:
+        apart = apart + np.bitwise_count(mark[a] ^ mark[b])
+        near_ = apart <= most
+        may, a, b, most, apart = may[near_], a[near_], b[near_], most[near_], apart[near_]
+    return may
+
+
 def _sign(batches):
     for batch in bounded_batches(batches):
         found = sets(batch.column(1))
         node = [mix(s * _PLACES[1]).sum(dtype=np.uint64) + _U(len(s)) for s in found]
         low, high = ([majority(x) for x in some] for some in (found, [mix(s ^ _PLACES[0]) for s in found]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(2), batch.column(3), batch.column(4), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, low, high)), pa.array([len(s) for s in found], pa.int32())],
-            names=["first_id", "d1", "d2", "node", "fp0", "fp1", "size"],
+            [batch.column(2), batch.column(3), batch.column(4), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, low, high, *sketches(found, SKETCH).T)), pa.array([len(s) for s in found], pa.int32())],
+            names=["first_id", "d1", "d2", "node", "fp0", "fp1", *_MARKS, "size"],
         )
 
 
@@ -357,13 +391,18 @@ def _compare(batches):
 
 
 def _outside(table: pa.Table) -> pa.Table:
-    """The rows of a group that have a candidate in another joined group."""
+    """The rows of a group that have a candidate in another joined group, without sizes and sketches."""
     code, second = _codes(table)
+    size, marks = table.column("size").to_numpy().astype(np.int64), np.stack([table.column(c).to_numpy() for c in _MARKS], axis=1).view(np.uint64)
     groups, found = Groups(table.column("joined").to_numpy()), np.zeros(len(code), bool)
-    for a, b in near(code, WIDE, second):
-        apart = groups.apart(a, b)
-        found[a[apart]] = found[b[apart]] = True
-    return table.filter(pa.array(found))
+    for all_a, all_b in near(code, WIDE, second):
+        for at in range(0, len(all_a), PORTION):
+            a, b = all_a[at : at + PORTION], all_b[at : at + PORTION]
+            asked = groups.apart(a, b) & ~(found[a] & found[b])
+            a, b = a[asked], b[asked]
+            may = alike(a, b, size, marks)
+            found[a[may]] = found[b[may]] = True
+    return table.drop_columns(["size", *_MARKS]).filter(pa.array(found))
 
 
 def _compare_all(table: pa.Table) -> pa.Table:
@@ -373,12 +412,17 @@ def _compare_all(table: pa.Table) -> pa.Table:
     for chunk in table.column("text").chunks:
         held += sets(chunk)
     size = np.array([len(s) for s in held])
+    marks = sketches(held, min(LONGEST, max(SKETCH, 1 << (int(np.median(size)) // 32).bit_length())))  # two bits for a shingle of the middle text
     groups, out = Groups(table.column("joined").to_numpy()), []
-    for a, b in near(code, WIDE, second):
-        some = groups.apart(a, b) & (np.minimum(size[a], size[b]) >= LEAST * np.maximum(size[a], size[b]))
-        a, b = a[some], b[some]
-        done = groups.join(a, b, lambda i, a=a, b=b: similarity(held[a[i]], held[b[i]]) >= LEAST)
-        out.append(np.stack([node[a[done]], node[b[done]]]))
+    for all_a, all_b in near(code, WIDE, second):
+        for at in range(0, len(all_a), PORTION):
+            a, b = all_a[at : at + PORTION], all_b[at : at + PORTION]
+            apart = groups.apart(a, b)
+            a, b = a[apart], b[apart]
+            may = alike(a, b, size, marks)
+            a, b = a[may], b[may]
+            done = groups.join(a, b, lambda i, a=a, b=b: similarity(held[a[i]], held[b[i]]) >= LEAST)
+            out.append(np.stack([node[a[done]], node[b[done]]]))
     a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
     return pa.table({"a": a, "b": b})
 
@@ -395,8 +439,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     key = [F.struct(number.isNull().alias("none"), F.coalesce(number, F.lit(0)).alias("id")).alias("first_id"), *digest(whole(text))]
     rows = plain.select(F.lit(0).alias("pad"), whole(text).alias("text"), *key)
     kind = "first_id struct<none:boolean,id:long>, d1 long, d2 long"
-    signed = settle(rows.mapInArrow(_sign, f"{kind}, node long, fp0 long, fp1 long, size int"), "copies-signed")
-    first = [F.min(F.struct("first_id", "d1", "d2")).alias("first"), *(F.min(c).alias(c) for c in ("fp0", "fp1", "size"))]  # of equal sets all three are equal
+    signed = settle(rows.mapInArrow(_sign, f"{kind}, node long, fp0 long, fp1 long, {''.join(f'{c} long, ' for c in _MARKS)}size int"), "copies-signed")
+    first = [F.min(F.struct("first_id", "d1", "d2")).alias("first"), *(F.min(c).alias(c) for c in ("fp0", "fp1", *_MARKS, "size"))]  # of equal sets all of these are equal
     nodes = settle(signed.groupBy("node").agg(*first), "copies-nodes")
     n = nodes.count()
     choices = random_choices(n)
@@ -411,11 +455,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     both = candidates.join(given.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(given.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
     linked = settle(both.select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long"), "copies-links")
 
-    codes = nodes.join(components(linked), "node", "left").select("node", F.coalesce("root", "node").alias("joined"), "size", "fp0", "fp1")
+    codes = nodes.join(components(linked), "node", "left").select("node", F.coalesce("root", "node").alias("joined"), "size", "fp0", "fp1", *_MARKS)
     tiled, parts = deal(codes, n, choices, BUCKET)
-    searched = tiled.repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_outside, tiled.schema)
+    searched = tiled.repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_outside, tiled.drop("size", *_MARKS).schema)
     outside = settle(searched, "copies-outside")
-    compared = outside.join(with_texts(outside), "node").select(*tiled.columns, "text").repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_compare_all, "a long, b long")
+    compared = outside.join(with_texts(outside), "node").select(*outside.columns, "text").repartitionById(parts, F.col("part")).groupBy(*_GROUP).applyInArrow(_compare_all, "a long, b long")
     roots = components(linked.unionByName(compared))
 
     group = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")

@@ -26,6 +26,73 @@ def _five(text):
 # pipeline
 
 
+def _family(n, edits, words=150, seed=3):
+    """Texts of one family, each with so many words of its own at random places."""
+    r, base = random.Random(seed), prose(words, seed).split()
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for k in range(edits(r)):
+            w[r.randrange(len(w))] = f"own{i}x{k}"
+        rows.append(" ".join(w))
+    return rows
+
+
+def test_a_family_too_far_apart_is_not_compared_pair_by_pair(monkeypatch):
+    rows, compared = _family(400, lambda r: 6), []
+    plain = pa.RecordBatch.from_arrays([pa.array([0] * len(rows)), pa.array(rows), *(pa.array(range(len(rows))) for _ in range(3))], names=["pad", "text", "first_id", "d1", "d2"])
+    group = pa.Table.from_batches(simhash._sign([plain]))
+    group = group.append_column("joined", group.column("node")).append_column("text", pa.array(rows))
+    for name in ("i", "j", "own"):
+        group = group.append_column(name, pa.array([0] * len(rows), pa.int32()))
+    likeness = simhash.similarity
+    monkeypatch.setattr(simhash, "similarity", lambda a, b: compared.append(1) or likeness(a, b))
+    code = np.stack([group.column(c).to_numpy() for c in ("fp0", "fp1")], axis=1).view(np.uint64)
+    assert sum(len(a) for a, _ in simhash.near(code, simhash.WIDE)) > 20 * len(rows)  # candidates by their fingerprints
+    assert simhash._compare_all(group).num_rows == 0 and len(compared) < len(rows)
+    assert simhash._outside(group).num_rows < len(rows) // 10  # the others' texts aren't fetched
+
+
+def test_no_pair_that_passes_is_refused_by_its_sketch():
+    r = np.random.Generator(np.random.PCG64(4))
+    for n in (1, 4, 5, 9, 18, 146, 700, 5000):
+        base, held = r.integers(0, 1 << 63, n, dtype=np.uint64), []
+        for gone in range(0, n // 5 + 1, max(1, n // 40)):
+            for new in (0, gone // 2, gone, n // 9):
+                held.append(np.unique(np.concatenate([base[gone:], r.integers(0, 1 << 63, new, dtype=np.uint64)])))
+        a, b = (x.ravel() for x in np.meshgrid(np.arange(len(held)), np.arange(len(held))))
+        size, passes = np.array([len(s) for s in held]), np.array([simhash.similarity(held[x], held[y]) >= simhash.LEAST for x, y in zip(a, b, strict=True)])
+        for words in (simhash.SKETCH, 64):
+            kept = np.isin(np.arange(len(a)), simhash.alike(a, b, size, simhash.sketches(held, words)))
+            assert passes.any() and kept[passes].all()
+
+
+def test_a_large_graded_family_by_brute_force(spark):
+    def edits(r):
+        k = 1
+        while r.random() < 0.7:
+            k += 1
+        return k
+
+    rows = [*enumerate(_family(250, edits))]
+    sets, root = [_five(t) for _, t in rows], [*range(len(rows))]
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    want = {i for i, _ in rows if find(i) == i}
+    assert 10 < len(want) < 200
+    got = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, DOC)).collect()}
+    assert want <= got and len(got - want) <= 2  # pairs at the very threshold meet in a shard with a chance of RECALL
+
+
 def test_near_copies_by_jaccard_similarity(spark):
     rows = []
     for i in range(12):
